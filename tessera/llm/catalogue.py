@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query name, module. A module has query(spark, sf_dir), and ORACLE_SQL where there is one.
 MODULES = {
+    "op1_pii_surrogates": "pii",
+    "op2_pfair_mixing": "mixing",
     "op3_secret_scan": "secrets",
     "op7_toxicity": "toxicity",
 }

@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fit (labels of training rows only): a bounded, hash-ordered sample of at most ``max_examples`` labelled
-documents; the terms whose presence differs between the classes by a chi-square of at least
+documents, equal texts once; the terms whose presence differs between the classes by a chi-square of at least
 ``min_chi2`` (at most ``max_terms``); inverse document frequencies of those terms over all documents of
 the corpus; an isotonic map from leave-one-out votes to probabilities.
 
@@ -19,22 +19,29 @@ ids without a document are ignored; of an id's conflicting labels the larger cou
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialise, table
 from .text import chunks
 
 MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK = 12_000, 4096, 24.0, 5, 25, 64
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
-def terms(text: str | None) -> list[str]:
-    """Lower-cased words without punctuation at their ends."""
-    return [w for w in (x if x.isalnum() else _EDGE.sub("", x) for x in (text or "").lower().split()) if w]
+def terms(text: str | None) -> dict[str, int]:
+    """Counts of the lower-cased words, without punctuation at their ends."""
+    out: dict[str, int] = {}
+    for w, n in Counter((text or "").lower().split()).items():
+        if not w.isalnum():
+            w = _EDGE.sub("", w)
+        if w:
+            out[w] = out.get(w, 0) + n
+    return out
 
 
 class Model:
@@ -66,9 +73,9 @@ class Model:
     def bag(self, text: str | None) -> dict[int, int]:
         out: dict[int, int] = {}
         get = self.vocabulary.get
-        for w in terms(text):
+        for w, n in terms(text).items():
             if (t := get(w)) is not None:
-                out[t] = out.get(t, 0) + 1
+                out[t] = n
         return out
 
     def vector(self, bag: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,27 +165,30 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("__toxic"))
     # a bounded sample of labelled rows, in the order of a hash: at most max_examples small rows are broadcast
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
-    examples = _bags(picked).collect()
-    n1 = sum(r["toxic"] for r in examples)
-    n0 = len(examples) - n1
-    seen: dict[str, list[int]] = {}
-    for r in examples:
-        for w in r["words"]:
-            seen.setdefault(w, [0, 0])[r["toxic"]] += 1
-    ranked = []
-    for w, (b, a) in seen.items():
-        if a + b < MIN_DF or not n0 or not n1:
-            continue
-        c, d = n1 - a, n0 - b
-        chi2 = (n0 + n1) * (a * d - b * c) ** 2 / max(1e-9, (a + b) * (c + d) * (a + c) * (b + d))
-        if chi2 >= min_chi2:
-            ranked.append((-chi2, w))
-    vocabulary = {w: i for i, (_, w) in enumerate(sorted(ranked)[:max_terms])}
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # copies would pass for independent evidence: of equal texts the smallest id stays
+    picked = picked.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("_t_digest")).agg(F.min(F.struct("doc_id", "__toxic", "text")).alias("x")).select("x.*")
+    examples = materialise(_bags(picked))
+    ranked = (
+        examples.select("toxic", F.explode("words").alias("w"))
+        .groupBy("w")
+        .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+        .crossJoin(F.broadcast(examples.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))))
+        .where(f"a + b >= {MIN_DF} and n0 > 0 and n1 > 0")
+        .withColumn("chi2", F.expr("(n0 + n1) * power(cast(a * (n0 - b) - b * (n1 - a) as double), 2) / ((a + b) * (n0 + n1 - a - b) * cast(n1 as double) * n0)"))
+        .where(F.col("chi2") >= min_chi2)
+        .orderBy(F.desc("chi2"), "w")
+        .limit(max_terms)
+        .select("w")
+        .collect()
+    )
+    vocabulary = {r["w"]: i for i, r in enumerate(ranked)}
     total, df = corpus_df(docs, vocabulary)
     idf = np.log((total + 1) / (df + 1)) + 1e-3
-    bags = [{vocabulary[w]: n for w, n in zip(r["words"], r["counts"], strict=True) if w in vocabulary} for r in examples]
-    return Model(vocabulary, idf, bags, [r["doc_id"] for r in examples], [r["toxic"] for r in examples], k)
+    known = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.expr("cast(array() as array<string>)")
+    slim = examples.select("doc_id", "toxic", F.filter(F.arrays_zip("words", "counts"), lambda x: F.array_contains(known, x["words"])).alias("x")).orderBy("doc_id").collect()
+    bags = [{vocabulary[x["words"]]: x["counts"] for x in r["x"]} for r in slim]
+    return Model(vocabulary, idf, bags, [r["doc_id"] for r in slim], [r["toxic"] for r in slim], k)
 
 
 def _bags(picked: DataFrame) -> DataFrame:
@@ -188,9 +198,7 @@ def _bags(picked: DataFrame) -> DataFrame:
         for batch in chunks(batches):
             words, counts = [], []
             for t in batch.column("text").to_pylist():
-                c: dict[str, int] = {}
-                for w in terms(t):
-                    c[w] = c.get(w, 0) + 1
+                c = terms(t)
                 words.append(list(c))
                 counts.append(list(c.values()))
             yield pa.RecordBatch.from_arrays(
@@ -210,7 +218,7 @@ def corpus_df(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndar
         for batch in chunks(batches):
             for t in batch.column("text").to_pylist():
                 total += 1
-                hit = vocabulary.keys() & terms(t)
+                hit = vocabulary.keys() & terms(t).keys()
                 for w in hit:
                     df[vocabulary[w]] += 1
         at = np.flatnonzero(df)
