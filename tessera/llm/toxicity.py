@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fit (labels of training rows only): a bounded, hash-ordered sample of at most ``max_examples`` labelled
-documents, equal texts once; the terms whose presence differs between the classes by a chi-square of at least
+documents, copies once; the terms whose presence differs between the classes by a chi-square of at least
 ``min_chi2`` (at most ``max_terms``); inverse document frequencies of those terms over all documents of
 the corpus; an isotonic map from leave-one-out votes to probabilities.
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, table
-from .text import chunks
+from .text import chunks, shingle_sets, text_bytes
 
 MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK = 12_000, 4096, 24.0, 5, 25, 64
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -165,10 +165,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("__toxic"))
     # a bounded sample of labelled rows, in the order of a hash: at most max_examples small rows are broadcast
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    # copies would pass for independent evidence: of equal texts the smallest id stays
-    picked = picked.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("_t_digest")).agg(F.min(F.struct("doc_id", "__toxic", "text")).alias("x")).select("x.*")
-    examples = materialise(_bags(picked))
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # copies would pass for independent evidence: of texts with one least 3-word shingle the smallest id stays
+    examples = materialise(_bags(picked).groupBy("digest").agg(F.min(F.struct("doc_id", "toxic", "words", "counts")).alias("x")).select("x.*"))
     ranked = (
         examples.select("toxic", F.explode("words").alias("w"))
         .groupBy("w")
@@ -191,6 +190,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     return Model(vocabulary, idf, bags, [r["doc_id"] for r in slim], [r["toxic"] for r in slim], k)
 
 
+def least_shingles(column: pa.Array) -> np.ndarray:
+    """The least hash of the 3-word shingles of every row."""
+    rows, values = shingle_sets(*text_bytes(column), n=3)
+    out = np.zeros(len(column), np.uint64)
+    out[rows[::-1]] = values[::-1]
+    return out.view(np.int64)
+
+
 def _bags(picked: DataFrame) -> DataFrame:
     """doc_id, toxic and the distinct terms with counts of the bounded sample."""
 
@@ -202,11 +209,11 @@ def _bags(picked: DataFrame) -> DataFrame:
                 words.append(list(c))
                 counts.append(list(c.values()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("__toxic"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "words", "counts"],
+                [pa.array(least_shingles(batch.column("text")), pa.int64()), batch.column("doc_id").cast(pa.int64()), batch.column("__toxic"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
+                names=["digest", "doc_id", "toxic", "words", "counts"],
             )
 
-    return picked.mapInArrow(run, "doc_id long, toxic int, words array<string>, counts array<int>")
+    return picked.mapInArrow(run, "digest long, doc_id long, toxic int, words array<string>, counts array<int>")
 
 
 def corpus_df(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
