@@ -33,10 +33,10 @@ def bytes_of(text: str) -> int:
     return int(float(text[:-1] if unit else text)) << unit
 
 
-def bucket_count(df: DataFrame, least: int = 16) -> int:
-    """Buckets in proportion to the input: about two for every 16 MB of scan that a partition may hold."""
+def bucket_count(df: DataFrame, per_16mb: int = 2, least: int = 16) -> int:
+    """Buckets in proportion to the input: per_16mb for every 16 MB of scan that a partition may hold."""
     size = bytes_of(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
-    return max(least, int(2 * df.rdd.getNumPartitions() * max(1.0, size / (16 << 20))))
+    return max(least, int(per_16mb * df.rdd.getNumPartitions() * max(1.0, size / (16 << 20))))
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:

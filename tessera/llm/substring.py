@@ -31,7 +31,7 @@ from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
 from .text import chunks, gram_hashes, mix, text_bytes, word_hashes, words
 
 WINDOW, GRAM = 13, 5
-RUN_WORDS = 2_000_000
+RUN_WORDS, BUCKETS_PER_16MB = 1_000_000, 6
 LAST = np.iinfo(np.int64).max
 _RUN = "bucket int, fp binary, doc binary, pos binary, mask binary, checks binary"
 _EMPTY = {"fp": np.uint64, "doc": np.int64, "pos": np.uint32, "mask": np.uint16}
@@ -184,15 +184,17 @@ def runs(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _load(t: pa.Table) -> tuple[tuple, list]:
-    got, passed = [], []
-    for r in t.to_pylist():
-        if r["fp"] is None:
-            passed.append((r["doc"], r["pos"]))
+    passed, sums = [], np.cumsum([0] + [x.size // 3 for x in (np.frombuffer(c.as_buffer() or b"", np.uint8) for c in t.column("checks"))])
+    n = int(sums[-1])
+    out = np.empty(n, np.uint64), np.empty(n, np.uint32), np.empty(n, np.int64), np.empty(n, np.uint32)
+    for k in range(t.num_rows):  # a run at a time: only its own expansion is held beside the result
+        fp, doc, pos, mask, checks = (t.column(c)[k].as_py() for c in ("fp", "doc", "pos", "mask", "checks"))
+        if fp is None:
+            passed.append((doc, pos))
         else:
-            got.append(expand(r["fp"], r["doc"], r["pos"], r["mask"], r["checks"]))
-    if not got:
-        return (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)), passed
-    return tuple(np.concatenate(x) for x in zip(*got, strict=True)), passed
+            for whole, part in zip(out, expand(fp, doc, pos, mask, checks), strict=True):
+                whole[sums[k] : sums[k + 1]] = part
+    return out, passed
 
 
 def merge(found: DataFrame, buckets: int, history: DataFrame | None = None) -> DataFrame:
@@ -204,13 +206,16 @@ def merge(found: DataFrame, buckets: int, history: DataFrame | None = None) -> D
 
     def join(t: pa.Table) -> pa.Table:
         fresh = pc.equal(t.column("fresh"), True)
-        new, passed = _load(t.filter(fresh))
-        old, _ = _load(t.filter(pc.invert(fresh)))
-        fp, check, doc, pos = (np.concatenate([a, b]) for a, b in zip(new, old, strict=True))
+        home = int(t.column("bucket")[0].as_py())
+        (fp, check, doc, pos), passed = _load(t.filter(fresh))
+        own = len(fp)
+        if not pc.all(fresh).as_py():
+            old, _ = _load(t.filter(pc.invert(fresh)))
+            fp, check, doc, pos = (np.concatenate([a, b]) for a, b in zip((fp, check, doc, pos), old, strict=True))
+        del t
         order, low = least_docs(fp, check, doc)
-        gone = order[(doc[order] > low) & (order < len(new[0]))]
+        gone = order[(doc[order] > low) & (order < own)]
         out = _removals(doc[gone], pos[gone], buckets)
-        home = int(t.column("bucket")[0].as_py())
         out += [(home, d, p) for d, p in passed]
         return pa.Table.from_batches([_batch(out, ["home", "doc", "pos"], [pa.int32(), pa.binary(), pa.binary()])])
 
@@ -274,7 +279,7 @@ def apply(docs: DataFrame, removed: DataFrame, buckets: int, keep_text: bool = F
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", history: DataFrame | None = None, buckets: int | None = None, keep_text: bool = False) -> DataFrame:
     """Documents without passages that start in a document of smaller id, of this batch or of the history's runs."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    buckets = buckets or bucket_count(docs)
+    buckets = buckets or bucket_count(docs, BUCKETS_PER_16MB)
     return apply(docs, merge(runs(docs, buckets), buckets, history), buckets, keep_text)
 
 
