@@ -15,6 +15,7 @@ MODULES = {
     "op5_ngram_jaccard": "jaccard",
     "op6_substring_dedup": "substring",
     "op7_toxicity": "toxicity",
+    "op9_decontamination": "decontam",
 }
 
 
