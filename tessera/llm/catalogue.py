@@ -16,6 +16,7 @@ MODULES = {
     "op6_substring_dedup": "substring",
     "op7_toxicity": "toxicity",
     "op9_decontamination": "decontam",
+    "op10_embedding_dedup": "embeddings",
 }
 
 
@@ -23,8 +24,14 @@ def _module(name: str):
     return importlib.import_module(f"{__package__}.{MODULES[name]}")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _module(name).query for name in MODULES}
+    return {name: _module(name).query for name in MODULES} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
