@@ -15,6 +15,7 @@ MODULES = {
     "op5_ngram_jaccard": "jaccard",
     "op6_substring_dedup": "substring",
     "op7_toxicity": "toxicity",
+    "op8_html_extraction": "html",
     "op9_decontamination": "decontam",
     "op10_embedding_dedup": "embeddings",
 }
