@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialise, table
 from .text import chunks, shingle_sets, text_bytes
 
-MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK = 12_000, 4096, 24.0, 5, 25, 64
+MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK = 12_000, 512, 24.0, 5, 25, 64
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -51,9 +51,13 @@ class Model:
         self.vocabulary, self.idf, self.k = vocabulary, idf, k
         self.ids, self.labels = np.asarray(ids, np.int64), np.asarray(labels, np.float64)
         self.prior = float(self.labels.mean()) if len(self.labels) else 0.0
+        # like examples side by side: a block's bound is tight where its members share their heaviest terms
+        vectors = [self.vector(b) for b in bags]
+        heaviest = [tuple(t[np.lexsort((t, -w))].tolist()) for t, w in vectors]
+        order = sorted(range(len(bags)), key=lambda i: (not heaviest[i], heaviest[i], self.ids[i]))
+        vectors, self.ids, self.labels = [vectors[i] for i in order], self.ids[order], self.labels[order]
         n = len(bags)
         self.blocks = (n + BLOCK - 1) // BLOCK
-        vectors = [self.vector(b) for b in bags]
         postings: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
         for i, (t, w) in enumerate(vectors):
             for a, b in zip(t.tolist(), w.tolist(), strict=True):
@@ -267,6 +271,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return source.mapInArrow(run, f"doc_id {kind}, score double, predicted int, nearest array<long>, similarity array<double>")
 
 
+def scorer(spark: SparkSession, model: Model):
+    """The score as a function of a text column."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        m = shared.value
+        return pa.array([m.score(t)[0] for t in texts.to_pylist()], pa.float64())
+
+    return run
+
+
 def train(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> Model:
     """Fit on the labelled rows outside fold 0."""
     docs = table(spark, sf_dir, "documents") if docs is None else docs
