@@ -250,3 +250,33 @@ def _scan(docs: DataFrame, index: Items) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def clean(docs: DataFrame, items: DataFrame, ratio: float = RATIO, recall: float = RECALL, text_col: str = "text") -> DataFrame:
+    """docs without those that hold an item; all columns stay. Narrow: a filter, no join."""
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    passes = max(1, -(-items.count() // ITEMS_PER_PASS))
+    for p in range(passes):
+        got = (items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p) if passes > 1 else items).orderBy("item_id", "text").collect()
+        kept = [(r["item_id"], w) for r, w in zip(got, item_words([r["text"] for r in got]), strict=True) if len(w)]
+        if kept:
+            docs = docs.where(~_holds(docs.sparkSession, Items([-1 if i is None else i for i, _ in kept], [w for _, w in kept], ratio, recall))(F.col(text_col).cast("string")))
+    return docs
+
+
+def _holds(spark: SparkSession, index: Items):
+    shared = spark.sparkContext.broadcast(index)
+
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
+        parts = []
+        for batch in chunks([pa.RecordBatch.from_arrays([texts], names=["text"])]):
+            data, offsets = text_bytes(batch.column("text"))
+            starts, ends, rows = words(data, offsets)
+            flag = np.zeros(batch.num_rows, bool)
+            for r, *_ in shared.value.find(word_hashes(data, starts, ends, lower=True), rows):
+                flag[r] = True
+            parts.append(flag)
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0, bool))
+
+    return holds
