@@ -12,6 +12,7 @@ MODULES = {
     "op1_pii_surrogates": "pii",
     "op2_pfair_mixing": "mixing",
     "op3_secret_scan": "secrets",
+    "op4_suffix_tree": "suffixtree",
     "op5_ngram_jaccard": "jaccard",
     "op6_substring_dedup": "substring",
     "op7_toxicity": "toxicity",

@@ -7,6 +7,7 @@ rare. The order only steers the work, the result does not depend on it.
 
 1. Candidates: two sets that reach the threshold share a shingle among the first n - ceil(t n) + 1 of
    their order. Those prefixes are dealt out by shingle; per shingle only links to a pivot (the least class) are tried.
+   A parity sketch of each set bounds the difference of two sets from below and rules out most pairs, none that links.
 2. Verification: the order is cut into ``FRAGMENTS`` ranges, every set into segments; the overlaps of a
    pair's segments are counted apart for each fragment and summed per pair.
 3. Classes that share a prefix shingle and are in different components after that are all verified too, so
@@ -29,7 +30,7 @@ from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
 from .text import chunks, mix, shingle_sets, text_bytes
 
 SHINGLE, PERCENT = 5, 75
-MAX_LISTED, FRAGMENTS, BATCH_ENTRIES = 1 << 20, 4, 1_500_000
+MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK = 1 << 20, 4, 1_500_000, 1024
 #: Class ids are broadcast up to so many (16 bytes each), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -62,15 +63,103 @@ def _batches(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
+def sketches(rows: np.ndarray, grams: np.ndarray, size: np.ndarray) -> list[bytes | None]:
+    """Parities of every row's shingles over 2 to 4 bits for each of them: the bits in which two rows differ
+    are no more than the shingles in which they do."""
+    out: list[bytes | None] = [None] * len(size)
+    heads = np.flatnonzero(np.diff(rows, prepend=-1)) if len(rows) else np.zeros(0, np.int64)
+    for i, j in zip(heads.tolist(), np.append(heads[1:], len(rows)).tolist(), strict=True):
+        bits = 1 << max(7, int(2 * (j - i) - 1).bit_length())
+        hit = np.bincount((grams[i:j] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out[int(rows[i])] = np.packbits(hit.astype(np.uint8)).tobytes()
+    return out
+
+
+def fold(sketch: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (one a row) of fewer bytes: parities of the parts."""
+    return np.bitwise_xor.reduce(sketch.reshape(len(sketch), -1, width), axis=1)
+
+
+def may_link(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of equally wide sketches can reach the threshold; never false for a pair that does."""
+    apart = np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
+    # a Jaccard of t leaves (1 - t) / (1 + t) of both sizes unshared
+    return ((100 + percent) * apart <= (100 - percent) * (na + nb)) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+
+
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, sig of every document."""
+    """doc_id, n_shingles, sig and sketch of every document."""
 
     def run(batches):
         for batch in chunks(batches):
-            _, _, size, sig = sets_of(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(sig)], names=["doc_id", "n_shingles", "sig"])
+            rows, grams, size, sig = sets_of(batch)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(size), pa.array(sig), pa.array(sketches(rows, grams, size), pa.binary())], names=["doc_id", "n_shingles", "sig", "sketch"]
+            )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sig long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, sig long, sketch binary")
+
+
+def plausible(pairs: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, na, b, nb) that their sketches do not rule out, as a, b."""
+    met = pairs.join(sketch.select(F.col("sig").alias("a"), F.col("sketch").alias("sa")), "a").join(sketch.select(F.col("sig").alias("b"), F.col("sketch").alias("sb")), "b")
+
+    def run(batches):
+        for batch in batches:
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            keep = []
+            for n, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"), strict=True)):
+                x, y = (np.frombuffer(z.as_py(), np.uint8)[None, :] for z in (x, y))
+                width = min(x.shape[1], y.shape[1])
+                if may_link(fold(x, width), na[n], fold(y, width), nb[n], percent)[0]:
+                    keep.append(n)
+            rows = pa.array(keep, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in ("a", "b")], names=["a", "b"])
+
+    return met.select("a", "na", "sa", "b", "nb", "sb").mapInArrow(run, "a long, b long")
+
+
+def across(placed: DataFrame, sketch: DataFrame, buckets: int, percent: int = PERCENT) -> DataFrame:
+    """Pairs of classes of different components under one shingle that their sketches do not rule out.
+
+    placed: token, sig, n, component. A shingle with many classes is cut into blocks, and pairs of blocks are tasks' work:
+    no task holds a group, and no pair is a row unless it is plausible.
+    """
+    sized = placed.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
+    dealt = placed.join(sized, "token").join(sketch, "sig")
+    dealt = dealt.withColumn("parts", F.expr(f"1 + members div {BLOCK}")).withColumn("own", F.expr("pmod(xxhash64(sig, 3), parts)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    dealt = dealt.withColumn("bucket", F.expr(f"cast(pmod(xxhash64(token, lo, hi), {buckets}) as int)"))
+
+    def meet(t: pa.Table) -> pa.Table:
+        token, lo, hi, own, sig, n, comp = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "sig", "n", "component"))
+        raw = t.column("sketch")
+        order = np.lexsort((n, hi, lo, token))
+        change = np.flatnonzero((np.diff(token[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)) + 1
+        found = set()
+        for group in np.split(order, change):
+            by_width: dict[int, list[int]] = {}
+            for i in group.tolist():
+                by_width.setdefault(len(raw[i].as_py()), []).append(i)
+            held = {w: (np.array(m), np.stack([np.frombuffer(raw[i].as_py(), np.uint8) for i in m])) for w, m in by_width.items()}
+            for w, (m, s) in held.items():
+                for v in (w, 2 * w):
+                    if v not in held:
+                        continue
+                    m2, s2 = held[v][0], fold(held[v][1], w)
+                    if w % 8 == 0:
+                        s, s2 = s.view(np.uint64), s2.view(np.uint64)
+                    for k in range(len(m)):
+                        i = int(m[k])
+                        fit = np.flatnonzero(may_link(s[k][None, :], n[i], s2, n[m2], percent) & (comp[m2] != comp[i]))
+                        for j in m2[fit].tolist():
+                            if lo[i] == hi[i] or own[i] != own[j]:
+                                found.add((min(sig[i], sig[j]), max(sig[i], sig[j])))
+                    s = s.view(np.uint8)
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return dealt.select("bucket", "token", "lo", "hi", "own", "sig", "n", "component", "sketch").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
 def frequency_classes(docs: DataFrame, buckets: int, limit: int = MAX_LISTED) -> tuple[np.ndarray, np.ndarray]:
@@ -235,22 +324,22 @@ def verified(docs: DataFrame, pairs: DataFrame, found: DataFrame, percent: int =
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class_sig."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    buckets = bucket_count(docs)
+    buckets = bucket_count(docs, 4)
     found = materialise(classes(docs))
     members = materialise(prefixes(docs, buckets, frequency_classes(docs, buckets), percent))
     fits = lambda x, y: F.expr(f"100 * least({x}, {y}) >= {int(percent)} * greatest({x}, {y})")
-    stars = materialise(members.where("sig <> pivot").where(fits("n", "pn")).select(F.col("sig").alias("a"), F.col("pivot").alias("b")).distinct())
+    sketch = found.where("sig <> 0 and sketch is not null").groupBy("sig").agg(F.first("sketch").alias("sketch"))
+    stars = members.where("sig <> pivot").where(f"100 * least(n, pn) >= {int(percent)} * greatest(n, pn)")
+    stars = stars.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("pivot").alias("b"), F.col("pn").alias("nb")).distinct()
+    stars = materialise(plausible(stars, sketch, percent))
     links = materialise(verified(docs, stars, found, percent))
     part = components(links)
     placed = members.join(part.withColumnRenamed("node", "sig"), "sig", "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("component"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    placed = materialise(placed.join(mixed, "token", "left_semi"))
-    one, two = (placed.select("token", F.col("sig").alias(s), F.col("n").alias(f"n{s}"), F.col("component").alias(f"c{s}")) for s in "ab")
-    across = one.join(two, "token").where("a < b and ca <> cb").where(fits("na", "nb")).select("a", "b").distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = materialise(across.join(tried, ["a", "b"], "left_anti"))
-    if not across.isEmpty():
-        links = materialise(links.unionByName(verified(docs, across, found, percent)))
+    more = materialise(across(placed.join(mixed, "token", "left_semi"), sketch, buckets, percent).join(tried, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        links = materialise(links.unionByName(verified(docs, more, found, percent)))
         part = components(links)
     part = materialise(part)
     grouped = found.where("n_shingles > 0").join(part.withColumnRenamed("node", "sig"), "sig", "left").select("doc_id", "n_shingles", "sig", F.coalesce("component", "sig").alias("component"))

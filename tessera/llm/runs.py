@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
+from .text import mix
+
 
 def planes(values: np.ndarray) -> bytes:
     """Byte planes of an array: planes that hardly vary take no room once compressed."""
@@ -42,3 +44,26 @@ def bucket_count(df: DataFrame, per_16mb: int = 2, least: int = 16) -> int:
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets by range of the hash, so that a sorted array is in bucket order."""
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
+def count_run(values: np.ndarray, buckets: int, shift: int = 0) -> list[tuple[int, bytes, bytes]]:
+    """(bucket, values, times) of the distinct values, a row for each bucket of their range; shift brings them to 64 bits."""
+    value, times = np.unique(values, return_counts=True)
+    if not len(value):
+        return []
+    b = bucket_of(mix(value) if shift < 0 else value << np.uint64(shift), buckets)
+    if shift < 0:
+        order = np.argsort(b, kind="stable")
+        b, value, times = b[order], value[order], times[order]
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1, [len(b)]])
+    return [(int(b[i]), deltas(value[i:j]), planes(times[i:j].astype(np.uint32))) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
+def sum_runs(values, times) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a bucket's runs with their total times."""
+    value = np.concatenate([undeltas(x) for x in values])
+    count = np.concatenate([unplanes(x, np.uint32) for x in times]).astype(np.int64)
+    order = np.argsort(value)
+    value, count = value[order], count[order]
+    heads = np.flatnonzero(np.diff(value, prepend=value[:1] + np.uint64(1)))
+    return value[heads], np.add.reduceat(count, heads)
