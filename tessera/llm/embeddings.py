@@ -5,8 +5,8 @@ codebook of its own (k-means on at most ``FIT_ROWS`` vectors, taken in the order
 one cell of the grid (label, code of the first half, code of the second). Each class probes the grid by
 multi-sequence traversal: cells in rising order of the sum of the halves' lower bounds on the squared
 distance to the cell, until that sum exceeds ``reach`` times the squared distance of the threshold. With reach 1 the bound
-proves that no partner is left (recall 1); a smaller reach, fitted by ``fit_reach`` on a bounded sample
-to a target recall, visits fewer cells. Members of visited cells are verified by cosine in double precision.
+proves that no partner is left (recall 1); a smaller one visits fewer cells. It is fitted to ``TARGET_RECALL`` on linked pairs
+that brute force finds for ``FIT_QUERIES`` classes against all rows. Members of visited cells are verified by cosine in double precision.
 
 Cells and their probes are cut into blocks, so a cell of any size is many tasks' work; a block pair returns
 sums of links and a spanning forest, never all pairs. Edge cases: null, empty and zero vectors, vectors with
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import components, materialise, table
 
-COSINE, FIT_ROWS, CELL_ROWS, BLOCK_ROWS, REACH = 0.98, 8192, 24, 256, 1.0
+COSINE, FIT_ROWS, FIT_QUERIES, FIT_PAIRS, CELL_ROWS, BLOCK_ROWS, TARGET_RECALL = 0.98, 8192, 512, 5000, 24, 256, 0.998
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
 class Grid:
     """Two codebooks per vector length and the bounds of the traversal."""
 
-    def __init__(self, sample: list[np.ndarray], codes: int, cosine: float = COSINE, reach: float = REACH):
+    def __init__(self, sample: list[np.ndarray], codes: int, cosine: float = COSINE, reach: float = 1.0):
         self.limit = reach * (2 - 2 * cosine) + 1e-9
         self.books: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for d in sorted({len(v) for v in sample}):
@@ -109,16 +109,41 @@ def kmeans(x: np.ndarray, codes: int, seed: int, rounds: int = 12) -> np.ndarray
     return np.unique(book, axis=0)
 
 
-def fit_reach(sample: list[np.ndarray], codes: int, target: float, cosine: float = COSINE) -> float:
-    """The least reach, in steps of a tenth, whose probes hold the target share of the sample's linked pairs."""
-    x = np.stack([v for v in sample if len(v) == len(sample[0])])
-    one, two = np.nonzero(np.triu(x @ x.T >= cosine, 1))
-    for step in range(1, 10):
-        grid = Grid(sample, codes, cosine, step / 10)
-        found = sum(grid.cell(x[j]) in set(grid.probes(x[i])) for i, j in zip(one.tolist(), two.tolist(), strict=True))
-        if found >= target * len(one):
-            return step / 10
-    return 1.0
+def linked_sample(classes: DataFrame, cosine: float, queries: int = FIT_QUERIES, pairs: int = FIT_PAIRS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs by brute force: queries classes, in the order of a hash, against all; at most pairs of them, in the order of a hash."""
+    asked = [(r["label"], r["cid"], np.frombuffer(bytes(r["unit"]), "<f8")) for r in classes.orderBy(F.xxhash64("cid", F.lit(5)), "cid").limit(queries).select("label", "cid", "unit").collect()]
+    shared = classes.sparkSession.sparkContext.broadcast(asked)  # at most FIT_QUERIES vectors
+
+    def run(batches):
+        of: dict = {}
+        for n, (label, cid, v) in enumerate(shared.value):
+            of.setdefault((label, len(v)), []).append((n, cid, v))
+        stacks = {k: (np.array([x[0] for x in m]), np.array([x[1] for x in m]), np.stack([x[2] for x in m])) for k, m in of.items()}
+        for batch in batches:
+            out_n, out_u = [], []
+            for label, cid, raw in zip(batch.column("label").to_pylist(), batch.column("cid").to_pylist(), batch.column("unit").to_pylist(), strict=True):
+                v = np.frombuffer(raw, "<f8")
+                if (label, len(v)) in stacks:
+                    n, ids, m = stacks[label, len(v)]
+                    for k in n[(m @ v >= cosine) & (ids != cid)].tolist():
+                        out_n.append(k)
+                        out_u.append(raw)
+            yield pa.RecordBatch.from_arrays([pa.array(out_n, pa.int32()), pa.array(out_u, pa.binary())], names=["n", "unit"])
+
+    found = classes.select("label", "cid", "unit").mapInArrow(run, "n int, unit binary")
+    return [(asked[r["n"]][2], np.frombuffer(bytes(r["unit"]), "<f8")) for r in found.orderBy(F.xxhash64("n", "unit")).limit(pairs).collect()]
+
+
+def fit_reach(grid: Grid, linked: list[tuple[np.ndarray, np.ndarray]], target: float, cosine: float = COSINE) -> float:
+    """The least reach at which probes meet the target share of the linked pairs; 1 (proven) without any pair."""
+    if target >= 1 or not linked:
+        return 1.0
+    need = []
+    for x, y in linked:
+        i, j = grid.cell(y)
+        (a, left), (b, right) = grid.halves(x)
+        need.append((bounds(a, left)[i] + bounds(b, right)[j]) / (2 - 2 * cosine))
+    return float(min(1.0, 1.05 * np.quantile(need, target, method="higher") + 1e-6))
 
 
 def _cells(classes: DataFrame, grid: Grid, probing: bool) -> DataFrame:
@@ -190,7 +215,7 @@ def _compare(met: DataFrame, cosine: float) -> DataFrame:
     return met.mapInArrow(run, "a long, b long, n long")
 
 
-def dedup(vectors: DataFrame, cosine: float = COSINE, target_recall: float = 1.0) -> DataFrame:
+def dedup(vectors: DataFrame, cosine: float = COSINE, target_recall: float = TARGET_RECALL) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept. vectors: vec_id, embedding, label."""
     slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
     units = materialise(unit_vectors(slim).withColumn("digest", F.sha2(F.col("unit"), 256)))
@@ -199,8 +224,8 @@ def dedup(vectors: DataFrame, cosine: float = COSINE, target_recall: float = 1.0
     total = classes.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
     codes = int(np.clip(np.ceil(np.sqrt(total[0] / max(1, total[1]) / CELL_ROWS)), 2, 256))
     sample = [np.frombuffer(bytes(r["unit"]), "<f8") for r in classes.orderBy(F.xxhash64("cid"), "cid").limit(FIT_ROWS).select("unit").collect()]
-    reach = 1.0 if target_recall >= 1 or not sample else fit_reach(sample[:2000], codes, target_recall, cosine)
-    grid = Grid(sample, codes, cosine, reach)
+    grid = Grid(sample, codes, cosine)
+    grid.limit *= fit_reach(grid, linked_sample(classes, cosine) if target_recall < 1 else [], target_recall, cosine)
     held = _blocks(_cells(classes, grid, False), "held")
     probe = _blocks(_cells(classes, grid, True), "probe")
     met = materialise(_compare(held.join(probe, ["label", "c1", "c2", "size"]).select("probe", "held"), cosine))
