@@ -132,7 +132,7 @@ def version_token(version_name, version_code) -> Column:
 
 def package_of(location, default: str) -> Column:
     """The package of an install location (…/<package>-<suffix>/base.apk or …/data/<package>/…), else the default."""
-    found = F.regexp_extract(c(location), r"(?:/data/app/(?:[^/]+/)?|/Android/data/)([A-Za-z][\w]*(?:\.[\w]+)+)", 1)
+    found = F.regexp_extract(c(location), r"(?:/data/app/(?:~~[^/]+/)?|/Android/data/)([A-Za-z]\w*(?:\.\w+)+)(?=[-/])", 1)
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(default))
 
 
