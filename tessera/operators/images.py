@@ -65,6 +65,7 @@ def match_bases(bases: DataFrame, candidates: DataFrame, target: float = pixels.
         return pd.DataFrame([out | {"avatar": name, "threshold": score, "box": whole, "box_norm": [v / pixels.SIDE for v in box], "offsets": offsets or None}])
 
     keys = ["character", "base"]
+    bases, candidates = bases.toDF(*bases.columns), candidates.toDF(*candidates.columns)  # both may stem from one table
     return bases.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(run, MATCH)
 
 
