@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,50 +26,89 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/tessera/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tessera_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing will read any more, not even to recompute a lost partition."""
+    for df in tables:
+        if path := getattr(df, "_tessera_path", None):
+            jvm = df.sparkSession.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+CONTRACT_EDGES = 300_000
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) of each partition, so many at a time, replaced by a star around every component's least node."""
+
+    def run(batches):
+        held, n = [], 0
+
+        def flush():
+            parent: dict[int, int] = {}
+
+            def root(x):
+                while (p := parent.get(x, x)) != x:
+                    parent[x] = x = parent.get(p, p)
+                return x
+
+            for us, vs in held:
+                for a, b in zip(us, vs, strict=True):
+                    a, b = root(a), root(b)
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+            held.clear()
+            pairs = [(x, root(x)) for x in parent]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+        for batch in batches:
+            held.append((batch.column("u").to_pylist(), batch.column("v").to_pylist()))
+            n += batch.num_rows
+            if n >= CONTRACT_EDGES:
+                yield flush()
+                n = 0
+        if held:
+            yield flush()
+
+    return edges.mapInArrow(run, "u long, v long")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
-    """Connected components of an undirected edge list by alternating large-star and small-star.
+    """Connected components of an undirected edge list: local contraction, then large-star and small-star rounds.
 
-    Returns (node, component): component is the smallest node reachable. Nodes without an
-    edge do not appear. Every round is a shuffle on a node and a distinct; the star operations halve
-    the diameter's logarithm, so a group of any size ends in a few rounds. Null ends are dropped.
+    Returns (node, component): component is the smallest node reachable. Nodes without an edge do not
+    appear; null ends and loops are dropped. Contraction works on what lies in a partition, a bounded number of
+    edges at a time; the rounds, shuffles on a node, join what lies apart, and stop when all edges form stars.
     """
     e = (
-        edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+        edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
         .where("u is not null and v is not null and u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
     e = materialise(e)
-    previous = None
     for _ in range(max_rounds):
+        last, e = e, materialise(_contracted(e).distinct())
+        discard(last)
+        inner = e.select(F.col("v").alias("u")).distinct()
+        if e.join(inner, "u", "left_semi").isEmpty() and e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            break
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: every larger neighbour points at the least of the neighbourhood
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: every smaller neighbour, and the node itself, points at the least neighbour
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
-        small = (
-            joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(joined.select("u", F.col("m").alias("v")))
-            .where("u <> v")
-            .distinct()
-        )
-        e = materialise(small)
-        state = e.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
-        ).first()
-        state = (state["n"], state["h"])
-        if state == previous or state[0] == 0:
-            break
-        previous = state
+        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
+        last, e = e, materialise(small.where("u <> v").distinct())
+        discard(last)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    stars = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    roots = e.select(F.col("v").alias("node")).distinct().join(stars.select("node"), "node", "left_anti")
-    return stars.unionByName(roots.select("node", F.col("node").alias("component")))
+    roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, materialise, table
+from .common import components, discard, materialise, table
 from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
 from .text import chunks, mix, shingle_sets, text_bytes
 
 SHINGLE, PERCENT = 5, 75
-MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK = 1 << 20, 4, 1_500_000, 1024
+MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK, FEW, FIRST = 1 << 20, 4, 800_000, 1024, 4, 8
 #: Class ids are broadcast up to so many (16 bytes each), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -67,8 +67,8 @@ def sketches(rows: np.ndarray, grams: np.ndarray, size: np.ndarray) -> list[byte
     """Parities of every row's shingles over 2 to 4 bits for each of them: the bits in which two rows differ
     are no more than the shingles in which they do."""
     out: list[bytes | None] = [None] * len(size)
-    heads = np.flatnonzero(np.diff(rows, prepend=-1)) if len(rows) else np.zeros(0, np.int64)
-    for i, j in zip(heads.tolist(), np.append(heads[1:], len(rows)).tolist(), strict=True):
+    heads = np.flatnonzero(np.diff(rows, prepend=-1)).tolist()
+    for i, j in zip(heads, [*heads[1:], len(rows)][: len(heads)], strict=True):
         bits = 1 << max(7, int(2 * (j - i) - 1).bit_length())
         hit = np.bincount((grams[i:j] & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
         out[int(rows[i])] = np.packbits(hit.astype(np.uint8)).tobytes()
@@ -125,8 +125,18 @@ def across(placed: DataFrame, sketch: DataFrame, buckets: int, percent: int = PE
     placed: token, sig, n, component. A shingle with many classes is cut into blocks, and pairs of blocks are tasks' work:
     no task holds a group, and no pair is a row unless it is plausible.
     """
+    one = F.struct(F.col("sig").alias("s"), "n", "component")
     sized = placed.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
-    dealt = placed.join(sized, "token").join(sketch, "sig")
+    sized = placed.join(sized, "token")
+    # a few classes: their pairs at once, at most FEW / 2 for each row, and distinct before any sketch is read
+    few = sized.where(f"members <= {FEW}").groupBy("token").agg(F.array_sort(F.collect_list(one)).alias("all"))
+    few = few.select(F.explode(F.expr("flatten(transform(all, (x, i) -> transform(filter(all, (y, j) -> j > i and y.component <> x.component), y -> struct(x as p, y as q))))")).alias("z"))
+    few = few.select(F.col("z.p.s").alias("a"), F.col("z.p.n").alias("na"), F.col("z.q.s").alias("b"), F.col("z.q.n").alias("nb"))
+    few = few.where(f"100 * least(na, nb) >= {int(percent)} * greatest(na, nb)").distinct()
+    many = sized.where(f"members > {FEW}")
+    # a pair that meets under several shingles is told once: under the least of those among both classes' first ones
+    first = many.groupBy("sig").agg(F.slice(F.array_sort(F.collect_set("token")), 1, FIRST).alias("first"))
+    dealt = many.join(first, "sig").join(sketch, "sig")
     dealt = dealt.withColumn("parts", F.expr(f"1 + members div {BLOCK}")).withColumn("own", F.expr("pmod(xxhash64(sig, 3), parts)"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
     dealt = dealt.withColumn("bucket", F.expr(f"cast(pmod(xxhash64(token, lo, hi), {buckets}) as int)"))
@@ -134,6 +144,7 @@ def across(placed: DataFrame, sketch: DataFrame, buckets: int, percent: int = PE
     def meet(t: pa.Table) -> pa.Table:
         token, lo, hi, own, sig, n, comp = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "sig", "n", "component"))
         raw = t.column("sketch")
+        first = [frozenset(x) for x in t.column("first").to_pylist()]
         order = np.lexsort((n, hi, lo, token))
         change = np.flatnonzero((np.diff(token[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)) + 1
         found = set()
@@ -153,13 +164,16 @@ def across(placed: DataFrame, sketch: DataFrame, buckets: int, percent: int = PE
                         i = int(m[k])
                         fit = np.flatnonzero(may_link(s[k][None, :], n[i], s2, n[m2], percent) & (comp[m2] != comp[i]))
                         for j in m2[fit].tolist():
-                            if lo[i] == hi[i] or own[i] != own[j]:
+                            if lo[i] != hi[i] and own[i] == own[j]:
+                                continue
+                            shared = first[i] & first[j]
+                            if not shared or min(shared) == token[i]:
                                 found.add((min(sig[i], sig[j]), max(sig[i], sig[j])))
                     s = s.view(np.uint8)
         pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return dealt.select("bucket", "token", "lo", "hi", "own", "sig", "n", "component", "sketch").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+    return dealt.select("bucket", "token", "lo", "hi", "own", "sig", "n", "component", "first", "sketch").groupBy("bucket").applyInArrow(meet, "a long, b long").unionByName(plausible(few, sketch, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
 def frequency_classes(docs: DataFrame, buckets: int, limit: int = MAX_LISTED) -> tuple[np.ndarray, np.ndarray]:
@@ -206,6 +220,7 @@ def frequency_classes(docs: DataFrame, buckets: int, limit: int = MAX_LISTED) ->
             break
         least, room = r["level"], room - r["n"]
     got = [(undeltas(bytes(r["value"])), r["level"]) for r in found.where(F.col("level") >= least).select("level", "value").collect()]
+    discard(found)
     if not got:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
     value = np.concatenate([v for v, _ in got])
@@ -230,8 +245,11 @@ def prefixes(docs: DataFrame, buckets: int, listed: tuple[np.ndarray, np.ndarray
             cut = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1, [len(b)]])
             held.clear()
             seen.clear()
-            rows = [(int(b[i]), deltas(token[i:j]), planes(sig[i:j]), planes(size[i:j].astype(np.uint32))) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-            return _batches(rows, ["bucket", "token", "sig", "n"], [pa.int32(), *[pa.binary()] * 3])
+            rows = []
+            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                own, first, place = np.unique(sig[i:j], return_index=True, return_inverse=True)
+                rows.append((int(b[i]), deltas(token[i:j]), planes(place.astype(np.uint32)), planes(own), planes(size[i:j][first].astype(np.uint32))))
+            return _batches(rows, ["bucket", "token", "place", "sig", "n"], [pa.int32(), *[pa.binary()] * 4])
 
         for batch in chunks(batches):
             rows, grams, size, sig = sets_of(batch)
@@ -259,8 +277,9 @@ def prefixes(docs: DataFrame, buckets: int, listed: tuple[np.ndarray, np.ndarray
 
     def meet(t: pa.Table) -> pa.Table:
         token = np.concatenate([undeltas(x.as_py()) for x in t.column("token")])
-        sig = np.concatenate([unplanes(x.as_py(), np.int64) for x in t.column("sig")])
-        size = np.concatenate([unplanes(x.as_py(), np.uint32) for x in t.column("n")]).astype(np.int64)
+        place = [unplanes(x.as_py(), np.uint32) for x in t.column("place")]
+        sig = np.concatenate([unplanes(x.as_py(), np.int64)[p] for x, p in zip(t.column("sig"), place, strict=True)])
+        size = np.concatenate([unplanes(x.as_py(), np.uint32)[p] for x, p in zip(t.column("n"), place, strict=True)]).astype(np.int64)
         order = np.lexsort((sig, token))
         token, sig, size = token[order], sig[order], size[order]
         new = np.ones(len(token), bool)
@@ -273,12 +292,12 @@ def prefixes(docs: DataFrame, buckets: int, listed: tuple[np.ndarray, np.ndarray
         columns = [token[many].view(np.int64), sig[many], size[many], sig[lead], size[lead]]
         return pa.table([pa.array(c) for c in columns], names=["token", "sig", "n", "pivot", "pn"])
 
-    dealt = docs.mapInArrow(emit, "bucket int, token binary, sig binary, n binary")
+    dealt = docs.mapInArrow(emit, "bucket int, token binary, place binary, sig binary, n binary")
     return dealt.groupBy("bucket").applyInArrow(meet, "token long, sig long, n long, pivot long, pn long")
 
 
 def segments(docs: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
-    """(sig, n, fragment, grams) of the classes in members; found: doc_id, n_shingles, sig of all documents."""
+    """(sig, n, parts) of the classes in members, a segment for each fragment; found: doc_id, n_shingles, sig of all documents."""
     wanted = found.join(members, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialise(wanted.select("doc_id", F.col("sig").alias("want")))
     side = F.broadcast(wanted) if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else wanted
@@ -289,36 +308,34 @@ def segments(docs: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame
             rows, grams, size, sig = sets_of(batch)
             want = batch.column("want").to_numpy()
             out = []
-            if len(rows):
-                part = (grams >> np.uint64(62)).astype(np.int64) if FRAGMENTS == 4 else bucket_of(grams, FRAGMENTS).astype(np.int64)
-                key = rows * FRAGMENTS + part
-                edge = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
-                for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                    r = int(rows[i])
-                    if sig[r] == want[r]:  # a row that merely shares its id with the class's is not meant
-                        out.append((int(sig[r]), int(size[r]), int(part[i]), deltas(grams[i:j])))
-            yield _batches(out, ["sig", "n", "fragment", "grams"], [pa.int64(), pa.int64(), pa.int32(), pa.binary()])
+            for r in range(batch.num_rows):
+                if sig[r] == want[r]:  # a row that merely shares its id with the class's is not meant
+                    own = grams[np.searchsorted(rows, r) : np.searchsorted(rows, r + 1)]
+                    edges = np.searchsorted(bucket_of(own, FRAGMENTS), np.arange(FRAGMENTS + 1))
+                    out.append((int(sig[r]), int(size[r]), [deltas(own[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]))
+            yield _batches(out, ["sig", "n", "parts"], [pa.int64(), pa.int64(), pa.list_(pa.binary())])
 
-    return picked.mapInArrow(cut, "sig long, n long, fragment int, grams binary").dropDuplicates(["sig", "fragment"])
+    return picked.mapInArrow(cut, "sig long, n long, parts array<binary>")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of classes that reach the threshold; pairs: distinct a, b, materialised."""
     parts = segments(docs, pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))), found)
-    left = parts.select(F.col("sig").alias("a"), F.col("n").alias("na"), "fragment", F.col("grams").alias("ga"))
-    right = parts.select(F.col("sig").alias("b"), F.col("n").alias("nb"), "fragment", F.col("grams").alias("gb"))
-    met = pairs.join(left, "a").join(right, ["b", "fragment"])
+    left = parts.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa"))
+    right = parts.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb"))
+    met = pairs.join(left, "a").join(right, "b")
 
     def overlap(batches):
         for batch in batches:
             counts = [
-                len(np.intersect1d(undeltas(x.as_py()), undeltas(y.as_py()), assume_unique=True)) for x, y in zip(batch.column("ga"), batch.column("gb"), strict=True)
+                [len(np.intersect1d(undeltas(x), undeltas(y), assume_unique=True)) for x, y in zip(one.as_py(), two.as_py(), strict=True)]
+                for one, two in zip(batch.column("pa"), batch.column("pb"), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(counts, pa.int64())], names=["a", "b", "na", "nb", "part"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(counts, pa.list_(pa.int64()))], names=["a", "b", "na", "nb", "counts"])
 
-    partial = met.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(overlap, "a long, b long, na long, nb long, part long")
-    summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
-    return summed.where(f"100 * both >= {int(percent)} * (na + nb - both)").select("a", "b")
+    partial = met.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(overlap, "a long, b long, na long, nb long, counts array<long>")
+    summed = partial.withColumn("both", F.expr("aggregate(counts, 0L, (x, y) -> x + y)"))
+    return summed.where(f"100 * both >= {int(percent)} * (na + nb - both)").select("a", "b").distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -339,9 +356,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = materialise(across(placed.join(mixed, "token", "left_semi"), sketch, buckets, percent).join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        links = materialise(links.unionByName(verified(docs, more, found, percent)))
-        part = components(links)
-    part = materialise(part)
+        both = materialise(links.unionByName(verified(docs, more, found, percent)))
+        part = components(both)
+        discard(both)
+    discard(members, stars, links, more)
     grouped = found.where("n_shingles > 0").join(part.withColumnRenamed("node", "sig"), "sig", "left").select("doc_id", "n_shingles", "sig", F.coalesce("component", "sig").alias("component"))
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     full = grouped.join(least, "component").select("doc_id", "n_shingles", "component_id", F.col("sig").alias("class_sig"))

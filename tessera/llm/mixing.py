@@ -85,17 +85,17 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_docs: in
     lacks = q.select("skey", F.ceil(F.col("n") / F.lit(block_docs)).cast("long").alias("nb"), F.col("c").alias("qc"))
     horizon = plan.join(lacks, "skey").where("i = nb % qc").agg(F.min(F.expr("(nb div qc) * total + at")).alias("_t_horizon"))
     # at most period + sources rows, by construction
-    plan = plan.crossJoin(horizon).select(F.col("skey").alias("_t_skey"), F.col("i").alias("_t_i"), "at", "c", "total", "_t_horizon")
+    plan = plan.crossJoin(horizon).select(F.col("skey").alias("_t_skey"), F.col("i").alias("_t_i"), F.col("at").alias("_t_at"), F.col("total").alias("_t_total"), "_t_horizon")
     sizes = q.select(F.col("skey").alias("_t_skey"), F.col("c").alias("_t_c"))  # at most MAX_SOURCES rows
 
     ranked = keyed.withColumn("_t_range", span).join(ranges, ["_t_skey", "_t_range"])
     place = Window.partitionBy("_t_skey", "_t_range").orderBy("_t_hash", F.col(id_col))
-    ranked = ranked.withColumn("rank", F.col("_t_base") + F.row_number().over(place) - 1)
-    ranked = ranked.withColumn("block", F.expr(f"rank div {int(block_docs)}"))
-    ranked = ranked.join(F.broadcast(sizes), "_t_skey").withColumn("_t_i", F.expr("block % _t_c"))
-    out = ranked.join(F.broadcast(plan), ["_t_skey", "_t_i"])
-    out = out.withColumn("slot", F.expr("(block div c) * total + at")).withColumn("in_mix", F.expr("slot < _t_horizon"))
-    return out.select(*docs.columns, "rank", "block", "slot", "in_mix")
+    ranked = ranked.withColumn("_t_rank", F.col("_t_base") + F.row_number().over(place) - 1)
+    ranked = ranked.withColumn("_t_block", F.expr(f"_t_rank div {int(block_docs)}"))
+    ranked = ranked.join(F.broadcast(sizes), "_t_skey").withColumn("_t_i", F.expr("_t_block % _t_c"))
+    out = ranked.join(F.broadcast(plan), ["_t_skey", "_t_i"]).withColumn("_t_slot", F.expr("(_t_block div _t_c) * _t_total + _t_at"))
+    kept = [c for c in docs.columns if c not in ("rank", "block", "slot", "in_mix")]  # columns of those names give way
+    return out.select(*kept, *[F.col(f"_t_{c}").alias(c) for c in ("rank", "block", "slot")], F.expr("_t_slot < _t_horizon").alias("in_mix"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ polynomial over random byte codes, taken from prefix sums, then mixed.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 U = np.uint64
 
 _STEP = 0x9E3779B97F4A7C15 | 1
@@ -48,6 +49,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker lives through many tasks beside the executor's own heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most limit bytes of text each; a longer text is a slice of its own."""
     for batch in batches:
@@ -61,6 +71,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = min(n, max(end, at + 1))
             yield batch.slice(at, end - at)
             at = end
+    release()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

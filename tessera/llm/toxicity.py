@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import discard, materialise, table
 from .text import chunks, shingle_sets, text_bytes
 
 MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK = 12_000, 512, 24.0, 5, 25, 64
@@ -190,6 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     idf = np.log((total + 1) / (df + 1)) + 1e-3
     known = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.expr("cast(array() as array<string>)")
     slim = examples.select("doc_id", "toxic", F.filter(F.arrays_zip("words", "counts"), lambda x: F.array_contains(known, x["words"])).alias("x")).orderBy("doc_id").collect()
+    discard(examples)
     bags = [{vocabulary[x["words"]]: x["counts"] for x in r["x"]} for r in slim]
     return Model(vocabulary, idf, bags, [r["doc_id"] for r in slim], [r["toxic"] for r in slim], k)
 
