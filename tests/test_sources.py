@@ -146,3 +146,27 @@ def test_derive(spark):
     m, s = out["model"].first(), out["fit_stats"].first()
     assert m["fit_samples"] == 40 and len(m["coef"]) == 9 and m["r2"]["cx"] > 0.9999 and s["mean"] > 0.95
     assert out["fit_rows"].agg(F.count(F.lit(1))).first()[0] == 40
+
+
+def test_source_registry_and_data_source(spark, tmp_path):
+    from tessera.sources import listing
+
+    d = tmp_path / "tree" / "spritepack"
+    d.mkdir(parents=True)
+    (d / "dup.ab").write_bytes(b"123")
+    (tmp_path / "ls.txt").write_text("-rw-rw---- 1 root sdcard_rw 99 2026-07-22 00:19 dup.ab\n-rw-rw---- 1 root sdcard_rw 7 2026-07-22 00:19 only.ab\n")
+    config = {"apk": {"root": str(tmp_path / "tree")}, "adb": {"listings": {"avatars": str(tmp_path / "ls.txt")}}}
+    both = listing.make_source(["adb", "apk"], config)
+    got = {r["rel"]: (r["size"], r["source"]) for r in both.files(spark, "avatars").collect()}
+    assert got == {"avatars/dup.ab": (99, "adb"), "avatars/only.ab": (7, "adb")}
+    assert listing.make_source(["apk"], config).files(spark, "avatars").first()["size"] == 3 and both.supports("characters")
+    for bad in ([], ["nope"]):
+        try:
+            listing.make_source(bad, config)
+        except ValueError:
+            continue
+        raise AssertionError
+    spark.dataSource.register(listing.ListingDataSource)
+    text = "Archive\n  10022  2026-07-22 00:19   assets/x/a.ab\n  5  2026-07-22 00:19   b.ab\n 7  2 files"
+    df = spark.read.format("listing").option("text", text).option("style", "unzip").option("linesPerPartition", 2).load()
+    assert sorted((r["name"], r["size"]) for r in df.collect()) == [("a.ab", 10022), ("b.ab", 5)]
