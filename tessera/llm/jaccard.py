@@ -344,7 +344,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     buckets = bucket_count(docs, 4)
     found = materialise(classes(docs))
     members = materialise(prefixes(docs, buckets, frequency_classes(docs, buckets), percent))
-    fits = lambda x, y: F.expr(f"100 * least({x}, {y}) >= {int(percent)} * greatest({x}, {y})")
     sketch = found.where("sig <> 0 and sketch is not null").groupBy("sig").agg(F.first("sketch").alias("sketch"))
     stars = members.where("sig <> pivot").where(f"100 * least(n, pn) >= {int(percent)} * greatest(n, pn)")
     stars = stars.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("pivot").alias("b"), F.col("pn").alias("nb")).distinct()
@@ -368,4 +367,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents"))
+    return join(table(spark, sf_dir, "documents")).drop("class_sig")
+
+
+ORACLE_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as (select distinct doc_id, g from (
+  select doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) when len(w) > 0 then [w] else [] end) g from w)),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+e as (select a, b from l union all select b, a from l),
+reach(a, b) as (select doc_id, doc_id from documents union select r.a, e.b from reach r join e on e.a = r.b)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, c.c component_id
+from documents d left join n on n.doc_id = d.doc_id join (select a, min(b) c from reach group by a) c on c.a = d.doc_id
+"""

@@ -285,3 +285,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", histo
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+win as (select doc_id, i, w[i:i + 12] g from (select doc_id, w, unnest(range(1, len(w) - 11)) i from w where len(w) >= 13)),
+low as (select g, min(doc_id) m from win group by g),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) p from win join low using (g) where m < doc_id),
+every as (select doc_id, unnest(w) word, unnest(range(1, len(w) + 1)) p from w),
+kept as (select doc_id, string_agg(word, ' ' order by p) t from every anti join gone using (doc_id, p) group by 1),
+cut as (select doc_id, count(*) n from gone group by 1)
+select w.doc_id, len(w.w)::bigint n_words, coalesce(cut.n, 0)::bigint n_removed, sha256(coalesce(kept.t, '')) kept_sha256
+from w left join kept on kept.doc_id = w.doc_id left join cut on cut.doc_id = w.doc_id
+"""
