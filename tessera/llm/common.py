@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return out
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, Arrow batches have at most so many rows: whole texts and segments would make the usual 10,000 heavy."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete materialised tables that nothing will read any more, not even to recompute a lost partition."""
     for df in tables:

@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, discard, materialise, table
+from .common import arrow_rows, components, discard, materialise, table
 from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
 from .text import chunks, mix, shingle_sets, text_bytes
 
 SHINGLE, PERCENT = 5, 75
-MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK, FEW, FIRST = 1 << 20, 4, 800_000, 1024, 4, 8
+MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK, FEW, FIRST, ARROW_ROWS = 1 << 20, 4, 800_000, 1024, 4, 8, 1500
 #: Class ids are broadcast up to so many (16 bytes each), else joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -338,10 +338,8 @@ def verified(docs: DataFrame, pairs: DataFrame, found: DataFrame, percent: int =
     return summed.where(f"100 * both >= {int(percent)} * (na + nb - both)").select("a", "b").distinct()
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_sig."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    buckets = bucket_count(docs, 4)
+def _linked(docs: DataFrame, buckets: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Classes of all documents, and (node, component) of the linked ones."""
     found = materialise(classes(docs))
     members = materialise(prefixes(docs, buckets, frequency_classes(docs, buckets), percent))
     sketch = found.where("sig <> 0 and sketch is not null").groupBy("sig").agg(F.first("sketch").alias("sketch"))
@@ -359,6 +357,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
         part = components(both)
         discard(both)
     discard(members, stars, links, more)
+    return found, part
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, class_sig."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    buckets = bucket_count(docs, 4)
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        found, part = _linked(docs, buckets, percent)
     grouped = found.where("n_shingles > 0").join(part.withColumnRenamed("node", "sig"), "sig", "left").select("doc_id", "n_shingles", "sig", F.coalesce("component", "sig").alias("component"))
     least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     full = grouped.join(least, "component").select("doc_id", "n_shingles", "component_id", F.col("sig").alias("class_sig"))
