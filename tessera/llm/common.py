@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = "/tmp/tessera-checkpoints"
     return root.rstrip("/")
