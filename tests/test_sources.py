@@ -170,3 +170,13 @@ def test_source_registry_and_data_source(spark, tmp_path):
     text = "Archive\n  10022  2026-07-22 00:19   assets/x/a.ab\n  5  2026-07-22 00:19   b.ab\n 7  2 files"
     df = spark.read.format("listing").option("text", text).option("style", "unzip").option("linesPerPartition", 2).load()
     assert sorted((r["name"], r["size"]) for r in df.collect()) == [("a.ab", 10022), ("b.ab", 5)]
+
+
+def test_windowed_counts(spark, tmp_path):
+    rows = [("2026-01-01 00:10:00", "a"), ("2026-01-01 00:50:00", "a"), ("2026-01-01 01:05:00", "b")]
+    df = spark.createDataFrame(rows, "t string, k string").select(F.to_timestamp("t").alias("t"), "k")
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    q = ingest.counts_by_window(stream, "t", ["k"]).writeStream.outputMode("complete").format("memory").queryName("windowed").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r["k"], r["n"]) for r in spark.table("windowed").collect()) == [("a", 2), ("b", 1)]
