@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import arrow_rows, materialise, table
 from .runs import bucket_count, count_run, deltas, planes, sum_runs, undeltas, unplanes
 from .text import chunks, text_bytes, word_hashes, words
 
 HEAD_WORDS, SHARE, LEAST, GAIN, DISCOUNT = 1 << 19, 3e-6, 6, 12.0, 0.6
-RUN_TOKENS = 1_500_000
+RUN_TOKENS, ARROW_ROWS = 1_000_000, 2000
 END = np.uint64(0x3C6EF372FE94F82B)
 _BITS = 20
 
@@ -322,4 +322,5 @@ def score(docs: DataFrame, tree: Tree, tail: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~F.coalesce(held_out, F.lit(False))).alias("train"))
-    return score(docs, *fit(docs))
+    with arrow_rows(spark, ARROW_ROWS):
+        return score(docs, *fit(docs))
