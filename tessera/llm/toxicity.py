@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, table
+from .common import arrow_rows, discard, materialise, table
 from .text import chunks, shingle_sets, text_bytes
 
-MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK = 12_000, 512, 24.0, 5, 25, 64
+MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK, ARROW_ROWS = 12_000, 512, 24.0, 5, 25, 64, 2000
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -287,7 +287,8 @@ def scorer(spark: SparkSession, model: Model):
 def train(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> Model:
     """Fit on the labelled rows outside fold 0."""
     docs = table(spark, sf_dir, "documents") if docs is None else docs
-    return fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold() != 0))
+    with arrow_rows(spark, ARROW_ROWS):
+        return fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold() != 0))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
