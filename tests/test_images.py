@@ -62,74 +62,32 @@ def test_search_above_the_edge_and_scaled():
     assert all(130 < 180 + o <= 325 for o in s.trace if o not in (0, 5))
 
 
-def plain_search(score, side, coarse=5, stop=0.70, target=0.85, lo=130, hi=325):
-    """The rules of the search in a straight line, over a given score function; returns the tried sizes and the best."""
-    tried = []
-
-    def f(o):
-        if o not in tried:
-            tried.append(o)
-        return score(o)
-
-    fits = lambda o: lo < side + o <= hi
-    st = {"best": 0, "s": f(0), "at": 0, "refined": False}
-    step = lambda: coarse if st["s"] < target else 1
-
-    def take(o):
-        crossed = st["s"] < target <= f(o)
-        st["best"], st["s"] = o, f(o)
-        if crossed and not st["refined"]:
-            st["refined"] = True
-            c = st["best"]
-            for d in range(1, coarse):
-                for n in (c - d, c + d):
-                    if fits(n) and f(n) > st["s"]:
-                        st["best"], st["s"] = n, f(n)
-
-    def optimise(o, sign):
-        for _ in range(10 if st["s"] > stop else 50):
-            o += sign * step()
-            if not fits(o):
-                return False
-            if f(o) > st["s"]:
-                st["at"] = o
-                take(o)
-                return True
-        return False
-
-    sign = 1 if f(step()) > st["s"] else -1
-    turned = False
-    while True:
-        st["at"] += sign * step()
-        if fits(st["at"]) and f(st["at"]) > st["s"]:
-            take(st["at"])
-            continue
-        if fits(st["at"]) and optimise(st["at"], sign):
-            continue
-        if not turned and st["s"] < stop:
-            turned = True
-            if optimise(0, -sign):
-                sign = -sign
-                continue
-        return tried, st["best"]
-
-
-@pytest.mark.parametrize("seed", range(30))
-def test_search_path(seed):
-    rng = np.random.default_rng(seed)
-    peak, height, noise = rng.integers(-60, 150), rng.uniform(0.5, 1.0), rng.uniform(0, 0.05)
-    wobble = rng.normal(0, noise, 2000)
-    curve = lambda o: float(height - abs(o - peak) / 200 + wobble[o + 1000])
+def tried(peak, height):
+    """The sizes a search tries, in order, and its answer, when scores fall off evenly from a peak."""
 
-    class Fake(pixels.ScaleSearch):
+    class Drawn(pixels.ScaleSearch):
         def _try(self, offset):
-            self.trace.setdefault(offset, (curve(offset), 0, 0))
+            self.trace.setdefault(offset, (height - abs(offset - peak) / 200, 0, 0))
             return self.trace[offset][0]
 
-    s = Fake(None, np.zeros((180, 180)))
+    s = Drawn(None, np.zeros((180, 180)))
     s.run()
-    tried, best = plain_search(curve, 180)
-    assert list(s.trace) == tried and s.best == best
+    return list(s.trace), s.best
+
+
+def test_search_path_below_the_target():
+    # coarse steps up to the peak, one past it, and ten more looked at in vain
+    assert tried(20, 0.8) == (list(range(0, 80, 5)), 20)
+
+
+def test_search_path_across_the_target():
+    # 10 is the first past the target: its neighbours are looked at, near before far, then steps are fine from 10 on
+    assert tried(20, 0.9) == ([0, 5, 10, 9, 11, 8, 12, 7, 13, 6, 14, *range(15, 32)], 20)
+
+
+def test_search_path_turns_once_when_scores_are_low():
+    # down to the smallest size, then the other way from the start up to the largest
+    assert tried(-30, 0.6) == ([0, 5, *range(-5, -50, -5), *range(10, 150, 5)], -30)
 
 
 def test_crop_pads_and_rejects_empty():
