@@ -26,12 +26,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import arrow_rows, materialise, table
 from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
-from .text import chunks, gram_hashes, mix, text_bytes, word_hashes, words
+from .text import chunks, gram_hashes, mix, release, text_bytes, word_hashes, words
 
 WINDOW, GRAM = 13, 5
-RUN_WORDS, BUCKETS_PER_16MB = 1_000_000, 6
+RUN_WORDS, BUCKETS_PER_16MB, ARROW_ROWS = 700_000, 6, 1500
 LAST = np.iinfo(np.int64).max
 _RUN = "bucket int, fp binary, doc binary, pos binary, mask binary, checks binary"
 _EMPTY = {"fp": np.uint64, "doc": np.int64, "pos": np.uint32, "mask": np.uint16}
@@ -217,6 +217,8 @@ def merge(found: DataFrame, buckets: int, history: DataFrame | None = None) -> D
         gone = order[(doc[order] > low) & (order < own)]
         out = _removals(doc[gone], pos[gone], buckets)
         out += [(home, d, p) for d, p in passed]
+        del fp, check, doc, pos, order, low, gone
+        release()
         return pa.Table.from_batches([_batch(out, ["home", "doc", "pos"], [pa.int32(), pa.binary(), pa.binary()])])
 
     return both.groupBy("bucket").applyInArrow(join, schema)
@@ -270,6 +272,8 @@ def apply(docs: DataFrame, removed: DataFrame, buckets: int, keep_text: bool = F
             kept = b" ".join(found)
             row = (ids[n], count, cut, hashlib.sha256(kept).hexdigest())
             out.append((*row, kept.decode()) if keep_text else row)
+        del doc, pos, pairs, order
+        release()
         return pa.Table.from_batches([_batch(out, names, types)])
 
     homed = docs.withColumn("home", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(LAST))), F.lit(buckets)).cast("int"))
@@ -280,7 +284,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", histo
     """Documents without passages that start in a document of smaller id, of this batch or of the history's runs."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = buckets or bucket_count(docs, BUCKETS_PER_16MB)
-    return apply(docs, merge(runs(docs, buckets), buckets, history), buckets, keep_text)
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        removed = materialise(merge(runs(docs, buckets), buckets, history))
+    return apply(docs, removed, buckets, keep_text)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
