@@ -45,6 +45,13 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Lower the session's Arrow batches to so many rows, for results that are evaluated after their function has returned."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete materialised tables that nothing will read any more, not even to recompute a lost partition."""
     for df in tables:
