@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, jaccard, mixing, secrets, toxicity
-from tessera.llm.common import materialise, table
+from tessera.llm.common import materialise, small_batches, table
 
 #: Ids to drop are broadcast up to so many (8 bytes each), else joined by shuffle.
 BROADCAST_IDS = 1_000_000
@@ -26,6 +26,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
+    small_batches(spark)
     model = toxicity.train(spark, sf_dir, docs)
     return docs.where(toxicity.scorer(spark, model)(F.col("text").cast("string")) < 0.5)
 
@@ -43,11 +44,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    small_batches(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by their kind; n_chars follows the text."""
+    small_batches(spark)
     out = secrets.redacted(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
