@@ -1,13 +1,14 @@
 """Removal of repeated 13-word passages over a log-structured fingerprint index.
 
 Windows of ``WINDOW`` consecutive words are fingerprinted in two parts: the least hash of the 5-word
-grams inside it (which neighbouring windows share, so one entry of the index stands for several windows) and 24 bits
-of the whole window's hash. Each batch of texts becomes one sorted, immutable run per bucket of the
+grams inside it (which neighbouring windows share, so one entry of the index stands for several windows) and all 64 bits
+of the whole window's hash, the check. Each batch of texts becomes one sorted, immutable run per bucket of the
 fingerprint's range: entries (fingerprint, smallest document id, position, mask and checks of the
 windows). Within a batch, windows that repeat are settled at once and only the least document's copy goes into the run,
 so a passage of any frequency costs one entry a batch. Runs of a bucket, and of the history if there is
-one, are merge-joined: equal fingerprints and equal checks (88 bits in all) make equal windows, and a window whose
-least document is smaller than its own is removed. ``compact`` folds all runs of a bucket into one.
+one, are merge-joined: equal fingerprints and equal checks make equal windows, and a window whose
+least document is smaller than its own is removed. Windows around one frequent gram share the first part, so only the check's
+64 bits count against false matches: words are not compared. ``compact`` folds all runs of a bucket into one.
 
 Order: a window is removed iff its word sequence also starts in a document of smaller id; windows are judged on the
 input. Edge cases: null texts have no words; texts below 13 words keep all; a null id counts as larger
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_rows, materialise, table
 from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
-from .text import chunks, gram_hashes, mix, release, text_bytes, word_hashes, words
+from .text import chunks, gram_hashes, release, text_bytes, word_hashes, words
 
 WINDOW, GRAM = 13, 5
 RUN_WORDS, BUCKETS_PER_16MB, ARROW_ROWS = 700_000, 6, 1500
@@ -41,7 +42,7 @@ def fingerprints(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
     """For words with their rows: the index of every window's first word, its fingerprint and its check."""
     n = len(hashes) - WINDOW + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     grams = gram_hashes(hashes, GRAM, seed=GRAM)
     low = grams.copy()
     reach, left = 1, WINDOW - GRAM + 1  # sliding minimum by doubling
@@ -49,15 +50,18 @@ def fingerprints(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
         step = min(reach, left - reach)
         low = np.minimum(low[: len(low) - step], low[step:])
         reach += step
-    whole = (gram_hashes(hashes, WINDOW, seed=WINDOW) >> np.uint64(40)).astype(np.uint32)
+    whole = gram_hashes(hashes, WINDOW, seed=WINDOW)
     at = np.flatnonzero(rows[:n] == rows[WINDOW - 1 :])
     return at, low[at], whole[at]
 
 
 def least_docs(fp: np.ndarray, check: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order by (fingerprint, check) and, in that order, the least document of every window's group."""
-    order = np.argsort(mix(fp + check.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    order = np.argsort(check)
     f, c = fp[order], check[order]
+    if ((c[1:] == c[:-1]) & (f[1:] != f[:-1])).any():  # one check under two fingerprints
+        order = np.lexsort((fp, check))
+        f, c = fp[order], check[order]
     new = np.empty(len(order), bool)
     new[:1] = True
     new[1:] = (f[1:] != f[:-1]) | (c[1:] != c[:-1])
@@ -66,12 +70,8 @@ def least_docs(fp: np.ndarray, check: np.ndarray, doc: np.ndarray) -> tuple[np.n
     return order, np.repeat(low, np.diff(np.append(starts, len(order))))
 
 
-def _triples(check: np.ndarray) -> np.ndarray:
-    return check.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
-
-
 def _pack(bucket: int, fp, doc, pos, mask, check) -> tuple:
-    return bucket, deltas(fp), planes(doc), planes(pos), planes(mask), np.ascontiguousarray(_triples(check).T).tobytes()
+    return bucket, deltas(fp), planes(doc), planes(pos), planes(mask), planes(check)
 
 
 def make_run(fp: np.ndarray, check: np.ndarray, doc: np.ndarray, pos: np.ndarray, buckets: int) -> list[tuple]:
@@ -105,8 +105,7 @@ def expand(fp: bytes, doc: bytes, pos: bytes, mask: bytes, checks: bytes) -> tup
     f, d, p, m = undeltas(fp), unplanes(doc, np.int64), unplanes(pos, np.uint32), unplanes(mask, np.uint16)
     bits = (m[:, None] >> np.arange(16, dtype=np.uint16)) & 1
     e, bit = np.nonzero(bits)
-    three = np.frombuffer(checks, np.uint8).reshape(3, -1).astype(np.uint32)
-    return f[e], three[0] | three[1] << 8 | three[2] << 16, d[e], (p[e] + bit).astype(np.int64)
+    return f[e], unplanes(checks, np.uint64), d[e], (p[e] + bit).astype(np.int64)
 
 
 def _home(doc: np.ndarray, buckets: int) -> np.ndarray:
@@ -184,9 +183,9 @@ def runs(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _load(t: pa.Table) -> tuple[tuple, list]:
-    passed, sums = [], np.cumsum([0] + [x.size // 3 for x in (np.frombuffer(c.as_buffer() or b"", np.uint8) for c in t.column("checks"))])
+    passed, sums = [], np.cumsum([0] + [x.size // 8 for x in (np.frombuffer(c.as_buffer() or b"", np.uint8) for c in t.column("checks"))])
     n = int(sums[-1])
-    out = np.empty(n, np.uint64), np.empty(n, np.uint32), np.empty(n, np.int64), np.empty(n, np.uint32)
+    out = np.empty(n, np.uint64), np.empty(n, np.uint64), np.empty(n, np.int64), np.empty(n, np.uint32)
     for k in range(t.num_rows):  # a run at a time: only its own expansion is held beside the result
         fp, doc, pos, mask, checks = (t.column(c)[k].as_py() for c in ("fp", "doc", "pos", "mask", "checks"))
         if fp is None:

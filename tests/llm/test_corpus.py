@@ -216,6 +216,18 @@ def test_substring_history_is_incremental(spark):
     assert substring.dedup(table(spark, []), buckets=3).count() == 0
 
 
+def test_windows_around_one_gram_stay_apart():
+    rng = np.random.default_rng(12)
+    some = rng.integers(1, 1 << 63, 1 << 18, dtype=np.uint64)
+    least = int(np.argmin(text.gram_hashes(some, substring.GRAM, seed=substring.GRAM)))
+    n = 20_000
+    h = rng.integers(1, 1 << 63, (n, substring.WINDOW), dtype=np.uint64)
+    h[:, 4 : 4 + substring.GRAM] = some[least : least + substring.GRAM]
+    _, fp, check = substring.fingerprints(h.reshape(-1), np.repeat(np.arange(n), substring.WINDOW))
+    order, low = substring.least_docs(fp, check, np.arange(n))
+    assert len(fp) == n and len(np.unique(fp)) < n / 100 and (low == order).all()
+
+
 # --- language model
 
 
