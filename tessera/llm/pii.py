@@ -8,7 +8,10 @@ digit, Luhn validity, country, top-level domain), the script of names and letter
 
 Collision check, over the distinct atoms of the whole corpus: a surrogate must be unique in its kind
 and be no original of its kind. Atoms that fail get the next attempt, until none fails; only those few
-attempts travel back to the documents. Without collisions there is no join with texts at all.
+attempts travel back to the documents. Without collisions there is no join with texts at all. The space grows with the attempt:
+a name gets twice as many parts every ``STEP`` attempts, and from attempt ``KEEP_LENGTH`` on the local part of an e-mail address, a
+telephone or a social security number gets more characters, for short ones have fewer surrogates than originals.
+Addresses, cards and IBANs have at least 10^9 surrogates and keep their length.
 
 Edge cases: null texts stay null, empty ones empty; documents without a detection are returned
 byte for byte; repeated and null ids keep their rows (attempts join null-safely); texts of any length are scanned
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import materialise, table
 
 KEY = "tessera"
-MAX_ATTEMPTS = 40
+STEP, KEEP_LENGTH = 4, 12
 #: Attempts of colliding atoms are broadcast up to so many documents (each a few dozen bytes), else joined by shuffle.
 BROADCAST_DOCS = 50_000
 
@@ -129,20 +132,25 @@ def _luhn(d: str) -> str:
 def surrogate_of(key: str, kind: str, norm: str, attempt: str) -> str:
     """The surrogate of an atom, in normal form."""
     digits = f"transform(split({norm}, ''), (c, i) -> case when i = 0 then c when i = 1 then cast(2 + {_word('h', 'i')} % 8 as string) else cast({_word('h', 'i')} % 10 as string) end)"
-    plain = f"array_join({digits}, '')"
-    body = f"concat(substring({plain}, 1, length({norm}) - 1), '0')"
-    card = f"case when {_luhn(norm)} = 0 then {_once(body, 'b', f'concat(substring(b, 1, length(b) - 1), cast((10 - {_luhn('b')}) % 10 as string))')} else {plain} end"
+    solid = f"array_join({digits}, '')"
+    more = f"greatest(0, ({attempt}) - {KEEP_LENGTH - 1})"  # characters added: each attempt from KEEP_LENGTH on holds strings that none before held
+    longer = lambda word: f"array_join(transform(slice(sequence(0, {more}), 2, {more}), i -> {word}), '')"
+    at = "i + 20"
+    plain = f"concat({solid}, {longer(f'cast({_word("h", f"({at})")} % 10 as string)')})"
+    body = f"concat(substring({solid}, 1, length({norm}) - 1), '0')"
+    card = f"case when {_luhn(norm)} = 0 then {_once(body, 'b', f'concat(substring(b, 1, length(b) - 1), cast((10 - {_luhn('b')}) % 10 as string))')} else {solid} end"
     ip = f"array_join(transform(split({norm}, '[.]'), (c, i) -> cast(case when i = 0 then 11 + {_word('h', 'i')} % 110 else 1 + {_word('h', 'i')} % 254 end as string)), '.')"
     domain = f"substring_index({norm}, '@', -1)"
     dstream = _stream(key, "'domain'", domain, "0")
     labels = f"substring({domain}, 1, length({domain}) - length(substring_index({domain}, '.', -1)) - 1)"
-    email = f"concat({_chars(f'substring_index({norm}, {_q("@")}, 1)', 'h')}, '@', {_once(dstream, 'g', _chars(labels, 'g'))}, '.', substring_index({domain}, '.', -1))"
+    tail = longer(f"substring({_q(_LATIN)}, 1 + {_word('h', f'({at})')} % {len(_LATIN)}, 1)")
+    email = f"concat({_chars(f'substring_index({norm}, {_q("@")}, 1)', 'h')}, {tail}, '@', {_once(dstream, 'g', _chars(labels, 'g'))}, '.', substring_index({domain}, '.', -1))"
     iban = f"concat(substring({norm}, 1, 2), {_chars(f'substring({norm}, 3)', 'h')})"
     lists = "case " + " ".join(f"when {kind} = {_q(k)} then split({_q(v)}, ' ')" for k, v in NAMES.items()) + " end"
     name = _once(
         lists,
         "names",
-        f"lower(array_join(transform(sequence(0, least(3, ({attempt}) div 4)), i -> element_at(names, 1 + cast({_word('h', 'i')} % size(names) as int))), '-'))",
+        f"lower(array_join(transform(sequence(1, cast(power(2, ({attempt}) div {STEP}) as int)), i -> element_at(names, 1 + cast({_word('h', '(i - 1)')} % size(names) as int))), '-'))",
     )
     cases = f"case when {kind} in ('phone', 'ssn') then {plain} when {kind} = 'card' then {card} when {kind} = 'ip' then {ip} when {kind} = 'email' then {email} when {kind} = 'iban' then {iban} else {name} end"
     return _once(_stream(key, kind, norm, attempt), "h", cases)
@@ -153,9 +161,11 @@ def render(key: str, m: str, attempts: str) -> str:
     sub = f"transform({atoms_of(m)}, x -> {surrogate_of(key, 'x.kind', 'x.norm', f'coalesce(try_element_at({attempts}, concat_ws({_q("|")}, x.kind, x.norm)), 0)')})"
     nth = f"length(regexp_replace(substring({m}, 1, i + 1), '[^0-9]', ''))"
     digits = f"array_join(transform(split({m}, ''), (c, i) -> case when c rlike '[0-9]' then substring(s[0], {nth}, 1) else c end), '')"
+    digits = f"concat({digits}, substring(s[0], 1 + length(regexp_replace({m}, '[^0-9]', ''))))"
     solid = f"length(replace(substring({m}, 1, i + 1), ' ', ''))"
     spaced = f"array_join(transform(split({m}, ''), (c, i) -> case when c = ' ' then c else substring(s[0], {solid}, 1) end), '')"
     cased = rf"array_join(transform(split({m}, ''), (c, i) -> case when c rlike '\\p{{Lu}}' then upper(substring(s[0], i + 1, 1)) else substring(s[0], i + 1, 1) end), '')"
+    cased = f"concat({cased}, substring(s[0], 1 + length({m})))"
     part = f"split({m}, ' ')[i + 1]"
     person = f"concat_ws(' ', substring_index({m}, ' ', 1), array_join(transform(s, (p, i) -> case when {part} = upper({part}) then upper(p) else replace(initcap(replace(p, '-', ' ')), ' ', '-') end), ' '))"
     body = f"case when {kind_of(m)} in ('phone', 'card', 'ssn') then {digits} when {kind_of(m)} = 'iban' then {spaced} when {kind_of(m)} = 'email' then {cased} when {kind_of(m)} = 'person' then {person} else s[0] end"
@@ -169,7 +179,7 @@ def attempts_for(atoms: DataFrame, key: str = KEY) -> DataFrame | None:
     least keeps it, unless it is an original or was given away in an earlier round.
     """
     settled, pending, attempt = None, atoms, 0
-    while attempt < MAX_ATTEMPTS:
+    while True:
         cand = pending.withColumn("surrogate", F.expr(surrogate_of(key, "kind", "norm", str(attempt))))
         first = cand.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
         first = first.join(atoms.select("kind", F.col("norm").alias("surrogate")), ["kind", "surrogate"], "left_anti")
@@ -181,8 +191,6 @@ def attempts_for(atoms: DataFrame, key: str = KEY) -> DataFrame | None:
         if pending.isEmpty():
             break
         attempt += 1
-    else:
-        raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
     return settled.where("attempt > 0").select("kind", "norm", "attempt") if attempt else None
 
 

@@ -344,6 +344,16 @@ def test_surrogates_stay_distinct(spark):
     assert pii.replace(table(spark, [])).count() == 0
 
 
+def test_surrogates_do_not_run_out(spark):
+    texts = [f"Dr {'ΑΒΓΔΕΖΗΘ'[i // 5]}{'αβγδε'[i % 5]}ρω Παππάς" for i in range(40)] + [f"call +1{i:02}" for i in range(100)]
+    texts += [f"to {chr(97 + i)}@b.org" for i in range(26)]
+    out = [r["text"] for r in sorted(pii.replace(table(spark, texts)).collect(), key=lambda r: r["doc_id"])]
+    for part, at in ((slice(0, 40), 1), (slice(40, 140), 1), (slice(140, 166), 1)):
+        old, new = [t.split()[at] for t in texts[part]], [t.split()[at] for t in out[part]]
+        assert len(set(new)) == len(old) and not set(new) & set(old)
+    assert {w for t in out[:40] for w in t.split()[1].split("-")} <= set(pii.NAMES["given_n_greek"].split())
+
+
 # --- mixing
 
 
