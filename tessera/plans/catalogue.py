@@ -530,3 +530,11 @@ def q50_cache_lookup(spark, sf):
     items = o.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("f"))
     cache = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).alias("f"), F.col("o_totalprice").alias("v"))
     return incremental.cached(items, cache, ["k"], ["f"], ["v"])
+
+
+@query("""
+select a.label, a.vec_id lo, b.vec_id hi, list_inner_product(a.embedding::double[], b.embedding::double[]) sim
+from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id
+""")
+def q51_pair_similarity_all(spark, sf):
+    return dedup.pair_products(t(spark, sf, "embeddings"), ["label"], "vec_id", "embedding")

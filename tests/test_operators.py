@@ -157,6 +157,13 @@ def test_greedy_dedup_drops_only_against_kept(spark):
     assert values(got, "item", "status") == [("a", "ok"), ("b", "dropped"), ("c", "ok")]
 
 
+def test_all_pairs_of_a_group_are_compared(spark):
+    rows = [("b" if i == 40 else "a", i, None if i == 7 else [float(i), 1.0]) for i in range(41)] + [("a", None, [1.0, 1.0]), (None, 50, [1.0, 1.0]), (None, 51, [1.0, 1.0])]
+    got = dedup.pair_products(spark.createDataFrame(rows, "label string, id long, v array<float>"), ["label"], "id", "v", block=6).collect()
+    want = {("a", i, j, None if 7 in (i, j) else i * j + 1.0) for i in range(40) for j in range(i + 1, 40)}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
 def test_ols_full_rank_and_deficient(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(60, 2)) * [3, 50] + [100, 2000]
