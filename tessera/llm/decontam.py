@@ -7,8 +7,9 @@ document is within floor(``ratio`` * L) word edits of it.
    that matches holds an intact k-gram of the item, k at most that. Looking up k-grams only loses nothing.
 2. Around those places every item-sized window is embedded by CGK random walks (edit distance becomes
    Hamming distance): at step j the walk outputs its current word and advances by a random bit of
-   (j, word). Tables sample ``SAMPLES`` output positions each; the number of walks is raised until simulated
-   edits at the largest distance are found with probability ``recall``.
+   (j, word). Tables sample ``SAMPLES`` output positions each; the number of walks is raised until at each item length
+   simulated edits at the largest distance are found with probability ``recall``. Lengths that ``MAX_WALKS`` do not bring there,
+   and all longer ones, have no walks: each stretch with as many of the item's k-grams as the edits must leave is verified.
 3. A window that shares a table's key with an item is verified by exact edit distance, ends free.
 
 The items are broadcast ``ITEMS_PER_PASS`` at a time, so the broadcast is bounded for any benchmark; documents
@@ -28,7 +29,7 @@ from .common import table
 from .text import chunks, gram_hashes, mix, text_bytes, word_hashes, words
 
 RATIO, RECALL, SEED_GRAM = 0.2, 0.99, 4
-TABLES, SAMPLES, MAX_WALKS, ITEMS_PER_PASS = 8, 3, 16, 20_000
+TABLES, SAMPLES, MAX_WALKS, TRIALS, ITEMS_PER_PASS = 8, 3, 16, 200, 20_000
 _PAD = np.uint64(0xA0761D6478BD642F)
 _KEY = np.uint64(0xE7037ED1A0B428DB)
 
@@ -56,25 +57,31 @@ class Items:
         self.edits = np.floor(self.sizes * ratio + 1e-9).astype(np.int64)
         self.lengths = np.unique(self.sizes)
         self.top = int(self.sizes.max(initial=0))
+        rng = np.random.default_rng(9)
+        self.places = {int(n): rng.integers(0, max(1, 2 * n), (MAX_WALKS, TABLES, SAMPLES)) for n in self.lengths}
+        self.edit_of = {int(n): int(np.floor(n * ratio + 1e-9)) for n in self.lengths}
+        # walks of each length; 0: exact
+        self.walks = {int(n): walks for n in self.lengths} if walks else self._needed(recall)
+        self.exact = self._exact()
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         by_gram: dict[int, list] = {}
-        for i, h in enumerate(hashes):
-            k = min(SEED_GRAM, -(-(len(h) - int(self.edits[i])) // (int(self.edits[i]) + 1)))
+        for h in hashes:
+            if not self.walks[len(h)]:
+                continue
+            k = self._gram(len(h))
             g = gram_hashes(h, k, seed=k)
             by_gram.setdefault(k, []).append((g, np.full(len(g), len(h)), np.arange(len(g))))
         for k, parts in by_gram.items():
             g, size, off = (np.concatenate(x) for x in zip(*parts, strict=True))
             trio = np.unique(np.stack([g, size.astype(np.uint64), off.astype(np.uint64)], 1), axis=0)
             self.seeds[k] = trio[:, 0].copy(), trio[:, 1].astype(np.int64), trio[:, 2].astype(np.int64)
-        rng = np.random.default_rng(9)
-        self.places = {int(n): rng.integers(0, max(1, 2 * n), (MAX_WALKS, TABLES, SAMPLES)) for n in self.lengths}
-        self.edit_of = {int(n): int(np.floor(n * ratio + 1e-9)) for n in self.lengths}
-        self.walks = walks or self._needed(recall)
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n in self.lengths.tolist():
+            if not self.walks[n]:
+                continue
             own = np.flatnonzero(self.sizes == n)
             sym = np.stack([self.words[i] for i in own], 1)
-            key = self.keys(sym, np.full(len(own), n), self.walks)
+            key = self.keys(sym, np.full(len(own), n), self.walks[n])
             flat, item = key.reshape(-1), np.tile(own, key.shape[0])
             order = np.argsort(flat, kind="stable")
             self.tables[n] = flat[order], item[order]
@@ -93,26 +100,76 @@ class Items:
                     out[w * TABLES + t, cols] = key
         return out
 
-    def _needed(self, recall: float) -> int:
-        """Walks after which simulated edits at the largest distance collide somewhere with probability recall."""
-        rng, hit = np.random.default_rng(10), []
-        for i in np.linspace(0, len(self.words) - 1, min(48, len(self.words))).astype(int).tolist() if len(self.words) else []:
-            h, n = self.words[i], int(self.sizes[i])
-            for _ in range(4):
-                x = h.tolist()
-                for _ in range(int(self.edits[i])):
+    def _needed(self, recall: float) -> dict[int, int]:
+        """Walks of each length after which simulated edits at the largest distance collide with probability recall; 0 where none do."""
+        out, rng = dict.fromkeys(self.lengths.tolist(), 0), np.random.default_rng(10)
+        for n in self.lengths.tolist():
+            own = np.flatnonzero(self.sizes == n)
+            pick = own[np.linspace(0, len(own) - 1, TRIALS).astype(int)]
+            edited = []
+            for i in pick.tolist():
+                x = self.words[i].tolist()
+                for _ in range(self.edit_of[n]):
                     p, kind = int(rng.integers(0, max(1, len(x)))), int(rng.integers(0, 3))
                     new = int(rng.integers(1, 1 << 62))
                     x[p : p + (kind != 1)] = [] if kind == 2 else [new]
-                x = (x + rng.integers(1, 1 << 62, n).tolist())[:n]
-                both = np.stack([h, np.array(x, np.uint64)], 1)
-                k = self.keys(both, np.full(2, n), MAX_WALKS)
-                hit.append((k[:, 0] == k[:, 1]).reshape(MAX_WALKS, TABLES).any(1))
-        if not hit:
-            return 1
-        found = np.logical_or.accumulate(np.array(hit), axis=1).mean(0)
-        enough = np.flatnonzero(found >= recall)
-        return int(enough[0]) + 1 if len(enough) else MAX_WALKS
+                edited.append(np.array((x + rng.integers(1, 1 << 62, n).tolist())[:n], np.uint64))
+            both = np.stack([*(self.words[i] for i in pick.tolist()), *edited], 1)
+            k = self.keys(both, np.full(2 * TRIALS, n), MAX_WALKS)
+            hit = (k[:, :TRIALS] == k[:, TRIALS:]).reshape(MAX_WALKS, TABLES, TRIALS).any(1)
+            enough = np.flatnonzero(np.logical_or.accumulate(hit, axis=0).mean(1) >= recall)
+            if not len(enough):
+                break
+            out[n] = int(enough[0]) + 1
+        # each length's figure is an estimate: all that have walks get as many as the neediest
+        most = max(out.values(), default=0)
+        return {n: most if w else 0 for n, w in out.items()}
+
+    def _exact(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """k-grams of the items without walks, sorted, with their item and place; by k."""
+        by_gram: dict[int, list] = {}
+        for i, h in enumerate(self.words):
+            if not self.walks[len(h)]:
+                k = self._gram(len(h))
+                g = gram_hashes(h, k, seed=k)
+                by_gram.setdefault(k, []).append((g, np.full(len(g), i), np.arange(len(g))))
+        out = {}
+        for k, parts in by_gram.items():
+            g, item, off = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(g, kind="stable")
+            out[k] = g[order], item[order], off[order]
+        return out
+
+    def _gram(self, n: int) -> int:
+        e = self.edit_of[n]
+        return min(SEED_GRAM, -(-(n - e) // (e + 1)))
+
+    def _stretches(self, h: np.ndarray, rows: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, a word within its edits of the start) wherever enough k-grams of an item without walks lie along one another, and its row."""
+        found: list[tuple[int, int, int]] = []
+        for k, (seed, item, off) in self.exact.items():
+            g = gram_hashes(h, k, seed=k)
+            ok = np.flatnonzero(rows[: len(g)] == rows[k - 1 :]) if len(g) else np.zeros(0, np.int64)
+            g = g[ok]
+            lo, hi = np.searchsorted(seed, g, "left"), np.searchsorted(seed, g, "right")
+            near = np.flatnonzero(hi > lo)
+            if not len(near):
+                continue
+            lo, count = lo[near], (hi - lo)[near]
+            entry = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+            q = np.repeat(ok[near], count)
+            start, owner = q - off[entry], item[entry]
+            order = np.lexsort((start, rows[q], owner))
+            start, owner, row = start[order], owner[order], rows[q][order]
+            cut = np.concatenate([[0], np.flatnonzero((np.diff(owner) != 0) | (np.diff(row) != 0)) + 1, [len(owner)]])
+            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                n, e = int(self.sizes[owner[i]]), int(self.edits[owner[i]])
+                # an edit breaks at most k of the item's k-grams; those left start within e of the stretch
+                least = max(1, n - k + 1 - k * e)
+                s = start[i:j]
+                many = np.searchsorted(s, s + 2 * e, "right") - np.arange(len(s)) >= least
+                found += [(int(owner[i]), x, int(row[i])) for x in np.unique(s[many]).tolist()]
+        return found
 
     def find(self, h: np.ndarray, rows: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, first word, end, distance) in a chunk's words h with their rows; indices into the chunk."""
@@ -141,17 +198,30 @@ class Items:
                 keep = rows[flat] == row
                 starts.append(flat[keep])
                 sizes.append(n[keep])
-        if not starts:
-            return []
-        both = np.unique(np.stack([np.concatenate(starts), np.concatenate(sizes)], 1), axis=0)
-        start, size = both[:, 0], both[:, 1]
-        found: list[tuple[int, int]] = []
+        found = self._stretches(h, rows)
+        if starts:
+            both = np.unique(np.stack([np.concatenate(starts), np.concatenate(sizes)], 1), axis=0)
+            of = np.array([self.walks[n] for n in self.lengths.tolist()])[np.searchsorted(self.lengths, both[:, 1])]
+            for walks in np.unique(of).tolist():
+                found += self._collide(h, rows, *both[of == walks].T, walks)
+        out, last = [], {}
+        for item, s, row in sorted(set(found)):
+            if s < last.get((row, item), -1):
+                continue
+            if hit := self.verify(h, rows, item, s, row):
+                last[row, item] = hit[1]
+                out.append((row, item, *hit))
+        return out
+
+    def _collide(self, h: np.ndarray, rows: np.ndarray, start: np.ndarray, size: np.ndarray, walks: int) -> list[tuple[int, int, int]]:
+        """(item, first word, row) of the windows that share a key with an item of their length."""
+        found: list[tuple[int, int, int]] = []
         for a in range(0, len(start), 8192):
             s, n = start[a : a + 8192], size[a : a + 8192]
-            at = s[None, :] + np.arange(self.top)[:, None]
+            at = s[None, :] + np.arange(int(n.max()))[:, None]
             end = np.minimum(at, len(h) - 1)
             sym = np.where((at < len(h)) & (rows[end] == rows[s][None, :]), h[end], _PAD)
-            key = self.keys(sym, n, self.walks)
+            key = self.keys(sym, n, walks)
             for x in np.unique(n).tolist():
                 cols = np.flatnonzero(n == x)
                 keys, item = self.tables[x]
@@ -159,22 +229,14 @@ class Items:
                 lo, hi = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
                 r, c = np.nonzero(hi > lo)
                 for i, j, col in zip(lo[r, c].tolist(), hi[r, c].tolist(), c.tolist(), strict=True):
-                    found += [(int(y), int(s[cols[col]])) for y in item[i:j]]
-        out, last = [], {}
-        for item, s in sorted(set(found)):
-            row = int(rows[s])
-            if s < last.get((row, item), -1):
-                continue
-            if hit := self.verify(h, rows, item, s):
-                last[row, item] = hit[1]
-                out.append((row, item, *hit))
-        return out
+                    found += [(int(y), int(s[cols[col]]), int(rows[s[cols[col]]])) for y in item[i:j]]
+        return found
 
-    def verify(self, h: np.ndarray, rows: np.ndarray, item: int, s: int) -> tuple[int, int, int] | None:
+    def verify(self, h: np.ndarray, rows: np.ndarray, item: int, s: int, row: int) -> tuple[int, int, int] | None:
         """The best stretch near s within the item's edits: first word, end, distance."""
         x, e = self.words[item], int(self.edits[item])
-        n, row = len(x), rows[s]
-        if s + n <= len(h) and rows[s + n - 1] == row and np.array_equal(h[s : s + n], x):
+        n = len(x)
+        if s >= 0 and rows[s] == row and s + n <= len(h) and rows[s + n - 1] == row and np.array_equal(h[s : s + n], x):
             return s, s + n, 0
         lo, hi = max(0, s - e), min(len(h), s + n + e)
         here = np.flatnonzero(rows[lo:hi] == row)

@@ -514,6 +514,23 @@ def test_decontamination_against_brute_force(spark):
     assert kept == set(range(len(texts))) - {k[0] for k in got}
 
 
+def test_long_items_are_found():
+    rng = np.random.default_rng(21)
+    items = [rng.integers(1, 1 << 62, n).astype(np.uint64) for n in (20, 300, 600)]
+    index = decontam.Items([0, 1, 2], items)
+    found = Counter()
+    for trial in range(40):
+        for j, item in enumerate(items):
+            x = item.tolist()
+            for _ in range(int(index.edits[j])):
+                p, kind = int(rng.integers(0, len(x))), int(rng.integers(0, 3))
+                x[p : p + (kind != 1)] = [] if kind == 2 else [int(rng.integers(1, 1 << 62))]
+            h = np.array([*rng.integers(1, 1 << 62, 9 * (trial % 3)).tolist(), *x, *rng.integers(1, 1 << 62, 5).tolist()], np.uint64)
+            got = index.find(np.concatenate([h[:7], h]), np.repeat([0, 1], [7, len(h)]))
+            found[j] += any(row == 1 and item_ == j for row, item_, *_ in got)
+    assert found[1] == found[2] == 40 and found[0] >= 38
+
+
 # --- embeddings
 
 
