@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fit (labels of training rows only): a bounded, hash-ordered sample of at most ``max_examples`` labelled
-documents, copies once; the terms whose presence differs between the classes by a chi-square of at least
+documents, copies with one label once (their 3-word shingle sets are equal); the terms whose presence differs between the classes by a chi-square of at least
 ``min_chi2`` (at most ``max_terms``); inverse document frequencies of those terms over all documents of
 the corpus; an isotonic map from leave-one-out votes to probabilities.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import arrow_rows, discard, materialise, table
 from .text import chunks, shingle_sets, text_bytes
 
-MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK, ARROW_ROWS = 12_000, 512, 24.0, 5, 25, 64, 2000
+MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK, ARROW_ROWS = 12_000, 4096, 24.0, 5, 25, 64, 2000
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -58,12 +59,12 @@ class Model:
         vectors, self.ids, self.labels = [vectors[i] for i in order], self.ids[order], self.labels[order]
         n = len(bags)
         self.blocks = (n + BLOCK - 1) // BLOCK
-        postings: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
-        for i, (t, w) in enumerate(vectors):
-            for a, b in zip(t.tolist(), w.tolist(), strict=True):
-                postings[a].append((i, b))
-        self.posting_ids = [np.array([p[0] for p in ps], np.int64) for ps in postings]
-        self.posting_weights = [np.array([p[1] for p in ps], np.float64) for ps in postings]
+        term = np.concatenate([t for t, _ in vectors]) if n else np.zeros(0, np.int64)
+        order = np.argsort(term, kind="stable")
+        cuts = np.searchsorted(term[order], np.arange(1, len(vocabulary)))
+        example = np.repeat(np.arange(n), [len(t) for t, _ in vectors])[order]
+        weight = np.concatenate([w for _, w in vectors])[order] if n else np.zeros(0)
+        self.posting_ids, self.posting_weights = (np.split(x, cuts) if vocabulary else [] for x in (example, weight))
         self.block_max = np.zeros((len(vocabulary), max(1, self.blocks)), np.float32)
         self.block_at = []
         for t, (i, w) in enumerate(zip(self.posting_ids, self.posting_weights, strict=True)):
@@ -170,15 +171,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     # a bounded sample of labelled rows, in the order of a hash: at most max_examples small rows are broadcast
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
     picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    # copies would pass for independent evidence: of texts with one least 3-word shingle the smallest id stays
-    examples = materialise(_bags(picked).groupBy("digest").agg(F.min(F.struct("doc_id", "toxic", "words", "counts")).alias("x")).select("x.*"))
+    # copies would pass for independent evidence: of texts with equal 3-word shingle sets and one label the smallest id stays
+    examples = materialise(_bags(picked).groupBy("digest", "toxic").agg(F.min(F.struct("doc_id", "words", "counts")).alias("x")).select("toxic", "x.*"))
     ranked = (
         examples.select("toxic", F.explode("words").alias("w"))
         .groupBy("w")
         .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
         .crossJoin(F.broadcast(examples.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))))
         .where(f"a + b >= {MIN_DF} and n0 > 0 and n1 > 0")
-        .withColumn("chi2", F.expr("(n0 + n1) * power(cast(a * (n0 - b) - b * (n1 - a) as double), 2) / ((a + b) * (n0 + n1 - a - b) * cast(n1 as double) * n0)"))
+        .withColumn("chi2", F.expr("(n0 + n1) * power(cast(a * (n0 - b) - b * (n1 - a) as double), 2) / nullif((a + b) * (n0 + n1 - a - b) * cast(n1 as double) * n0, 0)"))
         .where(F.col("chi2") >= min_chi2)
         .orderBy(F.desc("chi2"), "w")
         .limit(max_terms)
@@ -188,19 +189,34 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     vocabulary = {r["w"]: i for i, r in enumerate(ranked)}
     total, df = corpus_df(docs, vocabulary)
     idf = np.log((total + 1) / (df + 1)) + 1e-3
-    known = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.expr("cast(array() as array<string>)")
-    slim = examples.select("doc_id", "toxic", F.filter(F.arrays_zip("words", "counts"), lambda x: F.array_contains(known, x["words"])).alias("x")).orderBy("doc_id").collect()
+    slim = _numbered(examples, vocabulary).orderBy("doc_id", "toxic").collect()
     discard(examples)
-    bags = [{vocabulary[x["words"]]: x["counts"] for x in r["x"]} for r in slim]
+    bags = [dict(zip(*(np.frombuffer(r[c], np.int32).tolist() for c in ("terms", "counts")), strict=True)) for r in slim]
     return Model(vocabulary, idf, bags, [r["doc_id"] for r in slim], [r["toxic"] for r in slim], k)
 
 
-def least_shingles(column: pa.Array) -> np.ndarray:
-    """The least hash of the 3-word shingles of every row."""
+def shingle_digests(column: pa.Array) -> list[bytes]:
+    """128 bits of the set of 3-word shingles of every row."""
     rows, values = shingle_sets(*text_bytes(column), n=3)
-    out = np.zeros(len(column), np.uint64)
-    out[rows[::-1]] = values[::-1]
-    return out.view(np.int64)
+    cut = np.searchsorted(rows, np.arange(len(column) + 1)).tolist()
+    return [blake2b(values[i:j].tobytes(), digest_size=16).digest() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def _numbered(examples: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """doc_id, toxic and the vocabulary's terms with their counts, as int32 buffers."""
+
+    def run(batches):
+        for batch in batches:
+            terms_, counts = [], []
+            for ws, ns in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                pairs = [(t, n) for w, n in zip(ws, ns, strict=True) if (t := vocabulary.get(w)) is not None]
+                terms_.append(np.array([t for t, _ in pairs], np.int32).tobytes())
+                counts.append(np.array([n for _, n in pairs], np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(terms_, pa.binary()), pa.array(counts, pa.binary())], names=["doc_id", "toxic", "terms", "counts"]
+            )
+
+    return examples.select("doc_id", "toxic", "words", "counts").mapInArrow(run, "doc_id long, toxic int, terms binary, counts binary")
 
 
 def _bags(picked: DataFrame) -> DataFrame:
@@ -214,11 +230,11 @@ def _bags(picked: DataFrame) -> DataFrame:
                 words.append(list(c))
                 counts.append(list(c.values()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(least_shingles(batch.column("text")), pa.int64()), batch.column("doc_id").cast(pa.int64()), batch.column("__toxic"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
+                [pa.array(shingle_digests(batch.column("text")), pa.binary()), batch.column("doc_id").cast(pa.int64()), batch.column("__toxic"), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
                 names=["digest", "doc_id", "toxic", "words", "counts"],
             )
 
-    return picked.mapInArrow(run, "digest long, doc_id long, toxic int, words array<string>, counts array<int>")
+    return picked.mapInArrow(run, "digest binary, doc_id long, toxic int, words array<string>, counts array<int>")
 
 
 def corpus_df(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:

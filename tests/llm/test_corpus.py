@@ -422,6 +422,15 @@ def test_toxicity_separates_and_is_exact(spark):
         assert np.allclose(s, full[order]) and (model.ids[i] == model.ids[order]).all()
 
 
+def test_toxicity_keeps_unlike_examples(spark):
+    texts, labels = toxic_corpus()
+    passage = " ".join(f"p{k}" for k in range(400))
+    joined = [f"{passage} {t}" for t in texts[: len(labels)]] + [f"{passage} {texts[0]}", f"{passage} {texts[0]}"]
+    marks = spark.createDataFrame([*enumerate(labels), (400, labels[0]), (401, 1 - labels[0])], "doc_id long, toxic int")
+    model = toxicity.fit(table(spark, joined).select("doc_id", "text"), marks)
+    assert sorted(model.ids.tolist()) == [*range(400), 401] and model.labels.sum() == sum(labels) + 1 - labels[0]
+
+
 def test_toxicity_without_labels(spark):
     docs = table(spark, ["a b", None]).select("doc_id", "text")
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
