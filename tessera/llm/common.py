@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set (tests)."""
+    """The shared folder the cluster names in spark.checkpoint.dir, or the one set on the context."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = "/tmp/tessera-checkpoints"
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
@@ -61,6 +61,29 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Tables of ids are broadcast up to so many rows (a few dozen bytes each), else joined by shuffle; keys with more rows than HEAVY apart.
+BROADCAST_ROWS, HEAVY = 250_000, 10_000
+
+
+def small(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether a materialised table has at most BROADCAST_ROWS rows."""
+    rows = BROADCAST_ROWS if rows is None else rows
+    return df.limit(rows + 1).count() <= rows
+
+
+def looked_up(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left with right's columns by key, null where it has none; right: one materialised row a key, with its number of rows in left as ``times``.
+
+    A small table is broadcast. Else the keys of more than HEAVY rows are, of which there are few, and the others meet by shuffle, so
+    no task gets a hot key.
+    """
+    if small(right):
+        return left.join(F.broadcast(right.drop("times")), key, "left")
+    heavy = right.where(F.col("times") > HEAVY).drop("times")
+    light = right.where(F.col("times") <= HEAVY).drop("times")
+    return left.join(F.broadcast(heavy), key).unionByName(left.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key, "left"))
+
+
 CONTRACT_EDGES = 300_000
 
 
@@ -114,8 +137,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     )
     e = materialise(e)
     for _ in range(max_rounds):
-        last, e = e, materialise(_contracted(e).distinct())
+        parts = 1 + e.count() // CONTRACT_EDGES
+        last, e = e, materialise(_contracted(e.coalesce(parts)).distinct())
         discard(last)
+        if parts == 1:  # one task held all edges, so its stars are the components
+            break
         inner = e.select(F.col("v").alias("u")).distinct()
         if e.join(inner, "u", "left_semi").isEmpty() and e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
             break

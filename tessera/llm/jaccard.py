@@ -6,12 +6,15 @@ those of the most frequent shingles, at most ``MAX_LISTED``, are shared with eve
 rare. The order only steers the work, the result does not depend on it.
 
 1. Candidates: two sets that reach the threshold share a shingle among the first n - ceil(t n) + 1 of
-   their order. Those prefixes are dealt out by shingle; per shingle only links to a pivot (the least class) are tried.
-   A parity sketch of each set bounds the difference of two sets from below and rules out most pairs, none that links.
+   their order. Those prefixes are dealt out by shingle, a very frequent one by task besides. Under a shingle of few classes all pairs are tried, else
+   neighbours by size only. A parity sketch of each set bounds the difference of two sets from below and rules out most pairs, none that links.
 2. Verification: the order is cut into ``FRAGMENTS`` ranges, every set into segments; the overlaps of a
    pair's segments are counted apart for each fragment and summed per pair.
-3. Classes that share a prefix shingle and are in different components after that are all verified too, so
-   no link between components is lost, while a group of copies costs a star and not all its pairs.
+3. Rounds: linked classes contract to components, and under each shingle where components still meet, neighbours of different
+   components are tried again, in another order, until a round links nothing (``ROUNDS`` at most). A pair is asked once, and a round asks at most one pair for each
+   row, so a group of near copies costs pairs in proportion to its size.
+4. What then remains under a shingle in different components is compared in blocks, and verified inside the task: pairs are no rows, and
+   a task returns fewer links than it has classes. So no link between components is lost.
 
 Edge cases: a text of fewer than 5 words has one shingle, its whole sequence; null and empty texts have
 none, link with nothing and form their own component; rows with a null id keep their row but lend no id to a
@@ -22,17 +25,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, components, discard, materialise, table
+from .common import arrow_rows, components, discard, looked_up, materialise, small, table
 from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
 from .text import chunks, mix, shingle_sets, text_bytes
 
 SHINGLE, PERCENT = 5, 75
-MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK, FEW, FIRST, ARROW_ROWS = 1 << 20, 4, 800_000, 1024, 4, 8, 1500
-#: Class ids are broadcast up to so many (16 bytes each), else joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK, BLOCK_SHINGLES, FEW, HOT, ROUNDS, ARROW_ROWS = 1 << 20, 4, 800_000, 1024, 1_000_000, 4, 2000, 3, 1500
 
 
 def sets_of(batch: pa.RecordBatch, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,8 +103,9 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, na, b, nb) that their sketches do not rule out, as a, b."""
-    met = pairs.join(sketch.select(F.col("sig").alias("a"), F.col("sketch").alias("sa")), "a").join(sketch.select(F.col("sig").alias("b"), F.col("sketch").alias("sb")), "b")
+    """The pairs (a, b) that their sketches do not rule out; sketch: sig, n, sketch of every class in them."""
+    for side in "ab":
+        pairs = pairs.join(sketch.select(F.col("sig").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}")), side)
 
     def run(batches):
         for batch in batches:
@@ -116,64 +119,121 @@ def plausible(pairs: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> Da
             rows = pa.array(keep, pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in ("a", "b")], names=["a", "b"])
 
-    return met.select("a", "na", "sa", "b", "nb", "sb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "na", "sa", "b", "nb", "sb").mapInArrow(run, "a long, b long")
 
 
-def across(placed: DataFrame, sketch: DataFrame, buckets: int, percent: int = PERCENT) -> DataFrame:
-    """Pairs of classes of different components under one shingle that their sketches do not rule out.
+def neighbours(placed: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) of classes of different components that lie side by side under a shingle; placed: token, sig, n, component.
 
-    placed: token, sig, n, component. A shingle with many classes is cut into blocks, and pairs of blocks are tasks' work:
-    no task holds a group, and no pair is a row unless it is plausible.
+    Rows are range-sorted, so a shingle with any number of classes spreads over many tasks; each row starts one pair
+    at most. The order changes with the turn: by size first, then by a hash of it.
     """
-    one = F.struct(F.col("sig").alias("s"), "n", "component")
-    sized = placed.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
-    sized = placed.join(sized, "token")
-    # a few classes: their pairs at once, at most FEW / 2 for each row, and distinct before any sketch is read
-    few = sized.where(f"members <= {FEW}").groupBy("token").agg(F.array_sort(F.collect_list(one)).alias("all"))
-    few = few.select(F.explode(F.expr("flatten(transform(all, (x, i) -> transform(filter(all, (y, j) -> j > i and y.component <> x.component), y -> struct(x as p, y as q))))")).alias("z"))
-    few = few.select(F.col("z.p.s").alias("a"), F.col("z.p.n").alias("na"), F.col("z.q.s").alias("b"), F.col("z.q.n").alias("nb"))
-    few = few.where(f"100 * least(na, nb) >= {int(percent)} * greatest(na, nb)").distinct()
-    many = sized.where(f"members > {FEW}")
-    # a pair that meets under several shingles is told once: under the least of those among both classes' first ones
-    first = many.groupBy("sig").agg(F.slice(F.array_sort(F.collect_set("token")), 1, FIRST).alias("first"))
-    dealt = many.join(first, "sig").join(sketch, "sig")
-    dealt = dealt.withColumn("parts", F.expr(f"1 + members div {BLOCK}")).withColumn("own", F.expr("pmod(xxhash64(sig, 3), parts)"))
+    keyed = placed.withColumn("k", F.col("n") if turn == 0 else F.expr(f"xxhash64(component, {int(turn)}) % 1048576 * 4096 + pmod(xxhash64(sig, {int(turn)}), 4096)"))
+    order = ["token", "k", "sig"]
+
+    def run(batches):
+        last = [np.zeros(0, np.int64)] * 4
+        for batch in batches:
+            held = [np.concatenate([x, batch.column(c).to_numpy()]) for x, c in zip(last, ("token", "sig", "n", "component"), strict=True)]
+            token, sig, n, comp = held
+            m = (token[1:] == token[:-1]) & (comp[1:] != comp[:-1]) & (100 * np.minimum(n[1:], n[:-1]) >= percent * np.maximum(n[1:], n[:-1]))
+            a, b = sig[1:][m], sig[:-1][m]
+            last = [x[-1:] for x in held]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("token", "sig", "n", "component").mapInArrow(run, "a long, b long").distinct()
+
+
+class Block:
+    """Rows of one or two blocks of classes under a shingle, and which of them may link across components."""
+
+    def __init__(self, t: pa.Table, percent: int):
+        self.sig, self.n, self.own = (t.column(c).to_numpy() for c in ("sig", "n", "own"))
+        self.two = t.num_rows > 0 and t.column("lo")[0].as_py() != t.column("hi")[0].as_py()
+        names, self.comp = np.unique(t.column("component").to_numpy(), return_inverse=True)
+        self.most = int(np.bincount(self.comp).argmax()) if len(names) else 0
+        self.percent = percent
+        raw = [x.as_py() for x in t.column("sketch")]
+        by_width: dict[int, list[int]] = {}
+        for i, x in enumerate(raw):
+            by_width.setdefault(len(x), []).append(i)
+        self.held = {w: (np.array(m), np.stack([np.frombuffer(raw[i], np.uint8) for i in m])) for w, m in by_width.items()}
+
+    def pairs(self):
+        """(row, rows): each pair that is not ruled out once at least; rows of the largest component only as partners."""
+        for w, (m, s) in self.held.items():
+            for v in (w // 2, w, 2 * w):
+                if v not in self.held:
+                    continue
+                other, t = self.held[v]
+                narrow = min(v, w)
+                x, y = fold(s, narrow), fold(t, narrow)
+                if narrow % 8 == 0:
+                    x, y = x.view(np.uint64), y.view(np.uint64)
+                for k in np.flatnonzero(self.comp[m] != self.most).tolist():
+                    i = int(m[k])
+                    fit = may_link(x[k][None, :], self.n[i], y, self.n[other], self.percent) & (self.comp[other] != self.comp[i])
+                    if self.two:
+                        fit &= self.own[other] != self.own[i]
+                    if fit.any():
+                        yield i, other[fit]
+
+
+def blocks(placed: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The classes of each shingle in blocks of bounded size, a copy for every pair of blocks: token, lo, hi, own, sig, n, component, sketch."""
+    size = placed.groupBy("token").agg((1 + F.greatest(F.expr(f"count(1) div {BLOCK}"), F.expr(f"sum(n) div {BLOCK_SHINGLES}"))).alias("parts")).where("parts > 1")
+    size = materialise(size)  # at most a row for BLOCK classes
+    side = F.broadcast(size) if small(size) else size
+    dealt = placed.join(side, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long")).withColumn("own", F.expr("pmod(xxhash64(sig, 3), parts)"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
-    dealt = dealt.withColumn("bucket", F.expr(f"cast(pmod(xxhash64(token, lo, hi), {buckets}) as int)"))
-
-    def meet(t: pa.Table) -> pa.Table:
-        token, lo, hi, own, sig, n, comp = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "own", "sig", "n", "component"))
-        raw = t.column("sketch")
-        first = [frozenset(x) for x in t.column("first").to_pylist()]
-        order = np.lexsort((n, hi, lo, token))
-        change = np.flatnonzero((np.diff(token[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)) + 1
-        found = set()
-        for group in np.split(order, change):
-            by_width: dict[int, list[int]] = {}
-            for i in group.tolist():
-                by_width.setdefault(len(raw[i].as_py()), []).append(i)
-            held = {w: (np.array(m), np.stack([np.frombuffer(raw[i].as_py(), np.uint8) for i in m])) for w, m in by_width.items()}
-            for w, (m, s) in held.items():
-                for v in (w, 2 * w):
-                    if v not in held:
-                        continue
-                    m2, s2 = held[v][0], fold(held[v][1], w)
-                    if w % 8 == 0:
-                        s, s2 = s.view(np.uint64), s2.view(np.uint64)
-                    for k in range(len(m)):
-                        i = int(m[k])
-                        fit = np.flatnonzero(may_link(s[k][None, :], n[i], s2, n[m2], percent) & (comp[m2] != comp[i]))
-                        for j in m2[fit].tolist():
-                            if lo[i] != hi[i] and own[i] == own[j]:
-                                continue
-                            shared = first[i] & first[j]
-                            if not shared or min(shared) == token[i]:
-                                found.add((min(sig[i], sig[j]), max(sig[i], sig[j])))
-                    s = s.view(np.uint8)
-        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    return dealt.select("bucket", "token", "lo", "hi", "own", "sig", "n", "component", "first", "sketch").groupBy("bucket").applyInArrow(meet, "a long, b long").unionByName(plausible(few, sketch, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    return dealt.drop("other", "parts").join(sketch.select("sig", "sketch"), "sig")
+
+
+def rest(docs: DataFrame, placed: DataFrame, sketch: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that join all components which the pairs under placed's shingles join.
+
+    A shingle's classes meet in blocks, compared and verified inside the task: no pair is a row. A task tells only links that
+    join two components it has not joined yet, so it returns fewer links than it has classes.
+    """
+    dealt = materialise(blocks(placed, sketch))
+
+    def rivals(t: pa.Table) -> pa.Table:
+        block, hit = Block(t, percent), np.zeros(t.num_rows, bool)
+        for i, js in block.pairs():
+            hit[i] = True
+            hit[js] = True
+        return t.filter(pa.array(hit))
+
+    def links(t: pa.Table) -> pa.Table:
+        block, parent, out, sets = Block(t, percent), {}, [], {}
+        parts = t.column("parts")
+
+        def of(i):
+            if i not in sets:
+                sets[i] = [undeltas(x) for x in parts[i].as_py()]
+            return sets[i]
+
+        def root(x):
+            while (p := parent.get(x, x)) != x:
+                x = p
+            return x
+
+        for i, js in block.pairs():
+            for j in js.tolist():
+                a, b = root(int(block.comp[i])), root(int(block.comp[j]))
+                if a == b:
+                    continue
+                both = sum(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(of(i), of(j), strict=True))
+                if 100 * both >= percent * (int(block.n[i]) + int(block.n[j]) - both):
+                    parent[max(a, b)] = min(a, b)
+                    out.append((int(block.sig[i]), int(block.sig[j])))
+        return pa.Table.from_batches([_batches(out, ["a", "b"], [pa.int64(), pa.int64()])])
+
+    near = materialise(dealt.groupBy("token", "lo", "hi").applyInArrow(rivals, dealt.schema))
+    discard(dealt)
+    parts = segments(docs, near.select("sig"), found).select("sig", "parts").dropDuplicates(["sig"])
+    out = near.join(parts, "sig").groupBy("token", "lo", "hi").applyInArrow(links, "a long, b long").distinct()
+    return out
 
 
 def frequency_classes(docs: DataFrame, buckets: int, limit: int = MAX_LISTED) -> tuple[np.ndarray, np.ndarray]:
@@ -230,26 +290,41 @@ def frequency_classes(docs: DataFrame, buckets: int, limit: int = MAX_LISTED) ->
 
 
 def prefixes(docs: DataFrame, buckets: int, listed: tuple[np.ndarray, np.ndarray], percent: int = PERCENT) -> DataFrame:
-    """(token, sig, n, pivot, pn): classes that share a prefix shingle with another, and the least class of each shingle."""
+    """(token, sig, n, few, hot, next): classes that share a prefix shingle with another.
+
+    next holds the classes to try first: the following one by size under the shingle, for a shingle of ``FEW`` classes or fewer (few)
+    all following ones, so that nothing remains to be tried there. A shingle with more than ``HOT`` classes in one run (hot) is dealt by task besides,
+    so no task holds a group; classes under it may be told more than once.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(listed)  # at most MAX_LISTED entries of 9 bytes
 
     def emit(batches):
         value, level = shared.value
         held, seen, n = [], set(), 0
+        task = 1 + TaskContext.get().partitionId()
+
+        def entries(b, salt, token, sig, size, hot):
+            own, first, place = np.unique(sig, return_index=True, return_inverse=True)
+            return b, salt, deltas(token), planes(place.astype(np.uint32)), planes(own), planes(size[first].astype(np.uint32)), deltas(hot)
 
         def flush():
             token, sig, size = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(token, kind="stable")
             token, sig, size = token[order], sig[order], size[order]
+            heads = np.flatnonzero(np.diff(token, prepend=token[:1] + np.uint64(1)))
+            counts = np.diff(np.append(heads, len(token)))
+            hot = np.repeat(counts > HOT, counts)
             b = bucket_of(token, buckets)
             cut = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1, [len(b)]])
             held.clear()
             seen.clear()
             rows = []
             for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                own, first, place = np.unique(sig[i:j], return_index=True, return_inverse=True)
-                rows.append((int(b[i]), deltas(token[i:j]), planes(place.astype(np.uint32)), planes(own), planes(size[i:j][first].astype(np.uint32))))
-            return _batches(rows, ["bucket", "token", "place", "sig", "n"], [pa.int32(), *[pa.binary()] * 4])
+                h, x = hot[i:j], (token[i:j], sig[i:j], size[i:j])
+                rows.append(entries(int(b[i]), 0, *(y[~h] for y in x), np.unique(x[0][h])))
+                if h.any():
+                    rows.append(entries(int(b[i]), task, *(y[h] for y in x), np.zeros(0, np.uint64)))
+            return _batches(rows, ["bucket", "salt", "token", "place", "sig", "n", "hot"], [pa.int32(), pa.int32(), *[pa.binary()] * 5])
 
         for batch in chunks(batches):
             rows, grams, size, sig = sets_of(batch)
@@ -275,47 +350,64 @@ def prefixes(docs: DataFrame, buckets: int, listed: tuple[np.ndarray, np.ndarray
         if n:
             yield flush()
 
-    def meet(t: pa.Table) -> pa.Table:
+    def meet(key, t):
         token = np.concatenate([undeltas(x.as_py()) for x in t.column("token")])
         place = [unplanes(x.as_py(), np.uint32) for x in t.column("place")]
         sig = np.concatenate([unplanes(x.as_py(), np.int64)[p] for x, p in zip(t.column("sig"), place, strict=True)])
         size = np.concatenate([unplanes(x.as_py(), np.uint32)[p] for x, p in zip(t.column("n"), place, strict=True)]).astype(np.int64)
-        order = np.lexsort((sig, token))
+        salted = key[1].as_py() > 0
+        hot = np.unique(np.concatenate([undeltas(x.as_py()) for x in t.column("hot")]))
+        order = np.lexsort((sig, size, token))
         token, sig, size = token[order], sig[order], size[order]
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])
         token, sig, size = token[new], sig[new], size[new]
         heads = np.flatnonzero(np.diff(token, prepend=token[:1] + np.uint64(1)))
         counts = np.diff(np.append(heads, len(token)))
-        many = np.repeat(counts > 1, counts)
-        lead = np.repeat(heads, counts)[many]
-        columns = [token[many].view(np.int64), sig[many], size[many], sig[lead], size[lead]]
-        return pa.table([pa.array(c) for c in columns], names=["token", "sig", "n", "pivot", "pn"])
-
-    dealt = docs.mapInArrow(emit, "bucket int, token binary, place binary, sig binary, n binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "token long, sig long, n long, pivot long, pn long")
+        count = np.repeat(counts, counts)
+        warm = np.full(len(token), True) if salted else np.isin(token, hot)
+        many = (count > 1) | warm
+        token, sig, size, warm, few = token[many], sig[many], size[many], warm[many], (count <= FEW)[many] & ~warm[many]
+        after = np.zeros((len(token), FEW - 1), np.int64)
+        valid = np.zeros((len(token), FEW - 1), bool)
+        for s in range(1, FEW):
+            at = np.arange(max(0, len(token) - s))
+            near = (token[at] == token[at + s]) & (100 * size[at] >= percent * size[at + s])
+            valid[at, s - 1] = near if s == 1 else near & few[at]
+            after[at, s - 1] = sig[at + s]
+        offsets = np.concatenate([[0], np.cumsum(valid.sum(1))]).astype(np.int32)
+        following = pa.ListArray.from_arrays(pa.array(offsets), pa.array(after[valid]))
+        return pa.table([pa.array(token.view(np.int64)), pa.array(sig), pa.array(size), pa.array(few), pa.array(warm), following], names=["token", "sig", "n", "few", "hot", "next"])
+
+    dealt = docs.mapInArrow(emit, "bucket int, salt int, token binary, place binary, sig binary, n binary, hot binary")
+    return dealt.groupBy("bucket", "salt").applyInArrow(meet, "token long, sig long, n long, few boolean, hot boolean, next array<long>")
 
 
 def segments(docs: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
     """(sig, n, parts) of the classes in members, a segment for each fragment; found: doc_id, n_shingles, sig of all documents."""
-    wanted = found.join(members, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    wanted = found.join(members.distinct(), "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialise(wanted.select("doc_id", F.col("sig").alias("want")))
-    side = F.broadcast(wanted) if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else wanted
+    side = F.broadcast(wanted) if small(wanted) else wanted
     picked = docs.join(side, "doc_id").select("text", "want")
 
     def cut(batches):
         for batch in chunks(batches):
             rows, grams, size, sig = sets_of(batch)
-            want = batch.column("want").to_numpy()
+            want = batch.column("want").to_numpy(zero_copy_only=False) if "want" in batch.schema.names else sig
             out = []
             for r in range(batch.num_rows):
-                if sig[r] == want[r]:  # a row that merely shares its id with the class's is not meant
+                if sig[r] and sig[r] == want[r]:  # a row that merely shares its id with the class's is not meant
                     own = grams[np.searchsorted(rows, r) : np.searchsorted(rows, r + 1)]
                     edges = np.searchsorted(bucket_of(own, FRAGMENTS), np.arange(FRAGMENTS + 1))
                     out.append((int(sig[r]), int(size[r]), [deltas(own[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]))
             yield _batches(out, ["sig", "n", "parts"], [pa.int64(), pa.int64(), pa.list_(pa.binary())])
 
-    return picked.mapInArrow(cut, "sig long, n long, parts array<binary>")
+    kind = "sig long, n long, parts array<binary>"
+    out = picked.mapInArrow(cut, kind)
+    unnamed = wanted.where("doc_id is null").select(F.col("want").alias("sig"))
+    if not unnamed.isEmpty():  # classes of rows without an id
+        out = out.unionByName(docs.where("doc_id is null").select("text").mapInArrow(cut, kind).join(unnamed, "sig", "left_semi"))
+    return out
 
 
 def verified(docs: DataFrame, pairs: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -338,43 +430,121 @@ def verified(docs: DataFrame, pairs: DataFrame, found: DataFrame, percent: int =
     return summed.where(f"100 * both >= {int(percent)} * (na + nb - both)").select("a", "b").distinct()
 
 
-def _linked(docs: DataFrame, buckets: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Classes of all documents, and (node, component) of the linked ones."""
+def mixed(members: DataFrame, part: DataFrame) -> DataFrame:
+    """(token, sig, n, component) under the shingles where components meet; of shingles with the same classes the least only."""
+    left = members.where("not few")
+    left = left.where("not hot").select("token", "sig", "n").unionByName(left.where("hot").select("token", "sig", "n").distinct())
+    placed = left.join(part.withColumnRenamed("node", "sig"), "sig", "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("component"))
+    key = [F.count(F.lit(1)).alias("c"), F.expr("bit_xor(xxhash64(sig))").alias("x"), F.expr("bit_xor(xxhash64(sig, 1))").alias("y")]
+    met = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *key).where("lo <> hi")
+    return placed.join(met.groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token"), "token", "left_semi")
+
+
+def _linked(docs: DataFrame, buckets: int, percent: int, told: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Classes of all documents, and (node, component) of the linked ones; told gets the number of pairs verified in each round."""
     found = materialise(classes(docs))
     members = materialise(prefixes(docs, buckets, frequency_classes(docs, buckets), percent))
-    sketch = found.where("sig <> 0 and sketch is not null").groupBy("sig").agg(F.first("sketch").alias("sketch"))
-    stars = members.where("sig <> pivot").where(f"100 * least(n, pn) >= {int(percent)} * greatest(n, pn)")
-    stars = stars.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("pivot").alias("b"), F.col("pn").alias("nb")).distinct()
-    stars = materialise(plausible(stars, sketch, percent))
-    links = materialise(verified(docs, stars, found, percent))
-    part = components(links)
-    placed = members.join(part.withColumnRenamed("node", "sig"), "sig", "left").select("token", "sig", "n", F.coalesce("component", "sig").alias("component"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialise(across(placed.join(mixed, "token", "left_semi"), sketch, buckets, percent).join(tried, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        both = materialise(links.unionByName(verified(docs, more, found, percent)))
-        part = components(both)
-        discard(both)
-    discard(members, stars, links, more)
+    sketch = materialise(
+        found.where("sketch is not null").join(members.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    )
+    pairs = members.select(F.col("sig").alias("p"), F.explode("next").alias("q")).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    links, tried, left = None, None, members
+    for turn in range(ROUNDS + 1):
+        if turn:
+            if left.isEmpty():
+                break
+            pairs = neighbours(left, turn - 1, percent).join(tried, ["a", "b"], "left_anti")
+        asked = materialise(plausible(pairs, sketch, percent))
+        new = materialise(verified(docs, asked, found, percent))
+        if told is not None:
+            told[turn] = asked.count()
+        gained = turn == 0 or not new.isEmpty()
+        tried = asked if tried is None else tried.unionByName(asked)
+        links = new if links is None else links.unionByName(new)
+        if gained:
+            part = components(links)
+            last, left = left, materialise(mixed(members if turn == 0 else left.selectExpr("token", "sig", "n", "false few", "false hot"), part))
+            if turn:
+                discard(last)
+        else:
+            break
+    if not left.isEmpty():
+        new = materialise(rest(docs, left, sketch, found, percent))
+        if not new.isEmpty():
+            part = components(links.unionByName(new))
+    discard(members, sketch, left)
     return found, part
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_sig."""
+    """One row per document: doc_id, n_shingles, component_id, class_sig, component_sig (null without words)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = bucket_count(docs, 4)
     with arrow_rows(docs.sparkSession, ARROW_ROWS):
         found, part = _linked(docs, buckets, percent)
-    grouped = found.where("n_shingles > 0").join(part.withColumnRenamed("node", "sig"), "sig", "left").select("doc_id", "n_shingles", "sig", F.coalesce("component", "sig").alias("component"))
-    least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    full = grouped.join(least, "component").select("doc_id", "n_shingles", "component_id", F.col("sig").alias("class_sig"))
-    alone = found.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("class_sig"))
+    each = found.where("n_shingles > 0").groupBy("sig").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("least"))
+    each = each.join(part.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component_sig", F.coalesce("component", "sig"))
+    # a class of one row, linked with none, needs no telling
+    each = materialise(each.where("component is not null or times > 1").select("sig", "times", "least", "component_sig"))
+    least = each.groupBy("component_sig").agg(F.min("least").alias("component_id"))
+    told = materialise(each.join(least, "component_sig").select("sig", "times", "component_id", "component_sig"))
+    discard(each)
+    words = found.where("n_shingles > 0").select("doc_id", "n_shingles", "sig")
+    full = looked_up(words, told, "sig").select(
+        "doc_id", "n_shingles", F.when(F.col("component_sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.col("sig").alias("class_sig"), F.coalesce("component_sig", "sig").alias("component_sig"),
+    )
+    none = F.lit(None).cast("long")
+    alone = found.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), none.alias("class_sig"), none.alias("component_sig"))
     return full.unionByName(alone)
 
 
+def signatures():
+    """The column function that gives a text's class: the signature of its shingle set, null without words."""
+
+    @F.arrow_udf("long")
+    def class_sig(text: pa.Array) -> pa.Array:
+        out = []
+        for batch in chunks(iter([pa.RecordBatch.from_arrays([text], names=["text"])])):
+            _, _, size, sig = sets_of(batch)
+            out.append(pa.array(sig, mask=size == 0))
+        return pa.concat_arrays(out) if out else pa.array([], pa.int64())
+
+    return class_sig
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, one for each group of near duplicates: that of the smallest id, named ids before null ones.
+
+    Decided by row: one that shares its id with a copy, but not its shingles, stays. Of rows with equal id and
+    equal shingles the one of least text stays; texts without words all stay.
+    """
+    found = materialise(join(docs, id_col, text_col, percent).where("class_sig is not null").select("doc_id", "class_sig", "component_sig"))
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "class_sig")
+    groups = materialise(found.groupBy("component_sig").agg(F.count(F.lit(1)).alias("times"), F.min(key).alias("first")).where("times > 1"))
+    met = looked_up(found, groups, "component_sig").where("first is not null").withColumn("kept", F.expr("doc_id <=> first.doc_id and class_sig = first.class_sig"))
+    rows = materialise(met.groupBy("doc_id", "class_sig", "kept").agg(F.count(F.lit(1)).alias("times")).where("not kept or times > 1"))
+    sig = "class_sig"
+    while sig in docs.columns:
+        sig = f"_{sig}"
+    rows = rows.select(F.col("doc_id").alias(f"{sig}_id"), F.col("class_sig").alias(f"{sig}_of"), F.col("kept").alias(f"{sig}_kept"))
+    named = docs.withColumn(sig, signatures()(F.col(text_col).cast("string")))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(f"{sig}_id")) & (F.col(sig) == F.col(f"{sig}_of"))
+
+    def those(kept: bool) -> DataFrame:
+        part = rows.where(F.col(f"{sig}_kept") == F.lit(kept)).drop(f"{sig}_kept")
+        return F.broadcast(part) if small(part) else part
+
+    out = named.join(those(False), same, "left_anti")
+    repeated = those(True)
+    if not repeated.isEmpty():
+        again = out.join(repeated, same, "left_semi").groupBy(F.col(id_col).alias(f"{sig}_id"), sig).agg(F.min_by(F.struct(*docs.columns), F.col(text_col)).alias(f"{sig}_row"))
+        out = out.join(repeated, same, "left_anti").select(*docs.columns).unionByName(again.select(f"{sig}_row.*"))
+    return out.select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents")).drop("class_sig")
+    return join(table(spark, sf_dir, "documents")).drop("class_sig", "component_sig")
 
 
 ORACLE_SQL = r"""

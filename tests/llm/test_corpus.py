@@ -135,7 +135,7 @@ def test_jaccard_join(spark):
 
 
 def test_jaccard_large_group_in_blocks(spark, monkeypatch):
-    for k, v in {"BLOCK": 4, "FEW": 2, "FIRST": 2, "BATCH_ENTRIES": 200}.items():
+    for k, v in {"BLOCK": 4, "FEW": 2, "HOT": 3, "ROUNDS": 1, "BATCH_ENTRIES": 200}.items():
         monkeypatch.setattr(jaccard, k, v)
     rng = np.random.default_rng(5)
     base = [f"b{i}" for i in range(60)]
@@ -149,6 +149,44 @@ def test_jaccard_large_group_in_blocks(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect()) == brute_components(texts, range(50))
 
 
+@pytest.mark.parametrize("changes", [1, 2])
+def test_jaccard_pairs_grow_with_the_group(spark, changes):
+    asked = {}
+    for n in (200, 400, 800):
+        rng = np.random.default_rng(7)
+        texts = []
+        for i in range(n):
+            t = [f"b{j}" for j in range(60)]
+            for j in rng.choice(60, changes, replace=False):
+                t[j] = f"n{i}"
+            texts.append(" ".join(t))
+        told = {}
+        docs = table(spark, texts).select("doc_id", "text")
+        _, part = jaccard._linked(docs, 16, 75, told)
+        asked[n] = sum(told.values())
+        if changes == 1:
+            assert part.select("component").distinct().count() == 1
+    assert asked[400] < 2.6 * asked[200] and asked[800] < 2.6 * asked[400] and asked[800] < 12 * 800
+
+
+def test_jaccard_link_through_rows_without_ids(spark):
+    base = [f"b{i}" for i in range(60)]
+    one, two = list(base), list(base)
+    one[10], two[40] = "x", "y"
+    three = list(two)
+    three[20] = "z"
+    out = jaccard.join(table(spark, [" ".join(t) for t in (one, base, two, three)], [5, None, None, 9])).collect()
+    assert {r["component_id"] for r in out} == {5}
+
+
+def test_representatives_decide_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, 1), (2, a, 2), (2, b, 3), (2, b + " ", 4), (3, c, 5), (3, c, 5), (None, c, 6), (None, "d e f g h i j", 7), (None, "d e f g h i j", 8), (4, "", 9), (4, None, 10), (None, "", 11)]
+    out = jaccard.representatives(spark.createDataFrame(rows, "doc_id long, text string, class_sig int"))
+    got = sorted((r["doc_id"] or 0, (r["text"] or "").strip()[:2], r["class_sig"]) for r in out.collect())
+    assert [(i, t) for i, t, _ in got] == [(0, ""), (0, "d "), (1, "a0"), (2, "b0"), (3, "c0"), (4, ""), (4, "")] and got[2][2] == 1 and got[4][2] == 5
+
+
 def test_jaccard_edges(spark):
     assert jaccard.join(table(spark, [])).count() == 0
     out = jaccard.join(table(spark, ["a b c d e f", "a b c d e f", None], [None, 4, None])).collect()
