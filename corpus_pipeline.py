@@ -1,8 +1,8 @@
 """A corpus pipeline of five stages over ``documents``; each calls one operator of tessera.llm.
 
 Every stage takes (spark, docs, sf_dir) and returns what it keeps, with all columns it was given. Null
-texts pass every filter as empty ones; rows with a null id cannot be named, so the near-duplicate stage
-keeps them all; of rows that repeat an id that stage keeps one.
+texts pass every filter as empty ones; the near-duplicate stage decides by row, so neither a null nor a repeated
+id makes a row go that is no copy.
 """
 
 from __future__ import annotations
@@ -13,16 +13,6 @@ from pyspark.sql import functions as F
 from tessera.llm import decontam, jaccard, mixing, secrets, toxicity
 from tessera.llm.common import materialise, small_batches, table
 
-#: Ids to drop are broadcast up to so many (8 bytes each), else joined by shuffle.
-BROADCAST_IDS = 1_000_000
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    ids = materialise(ids.distinct())
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_anti")
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
@@ -33,13 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one of the smallest id."""
-    found = materialise(jaccard.join(docs).select("doc_id", "component_id"))
-    kept = _without(docs, found.where("doc_id <> component_id").select("doc_id"))
-    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if repeated.isEmpty():
-        return kept
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    small_batches(spark)
+    return jaccard.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
