@@ -9,14 +9,17 @@ articles), from fixed seeds, once in a driver process; the weights (about 90 kB)
 
 Scripts, styles, templates, comments of markup and the head never become blocks. Character references are
 decoded; white space in a block becomes one space; main blocks are joined by one space in page order.
-Edge cases: null or empty html, and pages without a main block, give an empty text; unclosed tags,
-comments and scripts are closed by the end of the page; ids may be null or repeat; pages of any length are read whole.
+Pages are cut in time linear in their length, and read in a bounded number of blocks at a time.
+Edge cases: null or empty html, and pages without a main block, give an empty text; unclosed elements,
+comments and scripts are closed by the end of the page, which drops a tag it cuts off; ids may be null or repeat, and equal rows get equal
+texts; pages of any length are read whole; an empty table gives none; input columns text and n_chars give way to the new ones.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from zlib import crc32
 
 import numpy as np
@@ -29,14 +32,14 @@ from .text import chunks, text_bytes, word_hashes, words
 
 PATH_DIMS, WORD_DIMS, SHAPE_DIMS, HIDDEN = 160, 24, 8, 20
 DIMS = PATH_DIMS + WORD_DIMS + SHAPE_DIMS
-TRAIN_PAGES, EPOCHS, BATCH, RATE, DEPTH = 2600, 8, 28, 0.01, 10
+TRAIN_PAGES, EPOCHS, BATCH, RATE, DEPTH, CELLS = 2600, 8, 28, 0.01, 10, 1 << 13
 
+#: What may follow "<"; a plain start or end tag has no "<" or ">" in its quotes, so its match never runs past the next of them.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?|"
-    r"<(?P<raw>script|style|noscript|template|title|svg|iframe|textarea|select|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|"
-    r"<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
+    r"<(?:(?P<comment>!--)|(?P<cdata>!\[CDATA\[)|(?P<other>[!?])|(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?:(?P<attrs>(?:[^<>\"']|\"[^\"<>]*+\"|'[^'<>]*+')*+)(?P<close>>))?)",
+    re.I,
 )
+_RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "noscript", "template", "title", "svg", "iframe", "textarea", "select", "object")}
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+|[0-9]+")
 # Element kinds of HTML.
@@ -66,12 +69,71 @@ def _names(tag: str, attrs: str) -> tuple[int, ...]:
     return tuple(crc32(x.encode()) % PATH_DIMS for x in out)
 
 
+class _Ends:
+    """Where tags end whose quotes hold "<" or ">": at the first ">" outside quotes, or at the first at all if a quote stays open.
+
+    Every quote and every ">" of the page is looked at once, whatever the number of tags.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.at = [m.start() for m in re.finditer("[>\"']", page)]
+        self.end: list[int] = [-1] * (len(self.at) + 1)
+        after = {'"': -1, "'": -1}
+        for i in range(len(self.at) - 1, -1, -1):
+            mark = page[self.at[i]]
+            if mark == ">":
+                self.end[i] = self.at[i]
+            else:
+                self.end[i] = self.end[after[mark] + 1] if after[mark] >= 0 else -1
+                after[mark] = i
+
+    def find(self, start: int) -> int:
+        end = self.end[bisect_left(self.at, start)]
+        return end if end >= 0 else self.page.find(">", start)
+
+
+def tokens(page: str):
+    """(text, None, "", False) of text, and (tag, attributes, is an end) of tags, in order and in time linear in the page.
+
+    A "<" that starts no markup is text. Markup that the page's end cuts off is dropped, as browsers do.
+    """
+    at, ends, said = 0, None, 0
+    while (m := _TOKEN.search(page, at)) is not None:
+        start, at = m.start(), m.end()
+        if start > said:
+            yield page[said:start], None, "", False
+        if (tag := m["tag"]) is None:
+            stop = "-->" if m["comment"] else "]]>" if m["cdata"] else ">"
+            end = page.find(stop, at)
+            if m["cdata"]:
+                yield html.escape(page[at : end if end >= 0 else len(page)]), None, "", False
+            at = said = end + len(stop) if end >= 0 else len(page)
+            continue
+        attrs = m["attrs"]
+        if attrs is None:
+            ends = ends or _Ends(page)
+            if (close := ends.find(at)) < 0:
+                return
+            attrs, at = page[at:close], close + 1
+        tag = tag.lower()
+        if not m["end"] and tag in _RAW:
+            closing = _RAW[tag].search(page, at)
+            at = closing.end() if closing else len(page)
+        said = at
+        yield "", tag, attrs, bool(m["end"])
+    if said < len(page):
+        yield page[said:], None, "", False
+
+
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[int, ...]]] = []
+    open_at: dict[str, list[int]] = {}  # places in the stack by tag
+    solid: list[int] = []  # places of tags that are not inline
     held: list[str] = []
-    state = {"linked": 0, "links": 0, "head": 0}
+    state = {"linked": 0}
     known: dict[tuple[str, str], tuple[int, ...]] = {}
 
     def cut():
@@ -79,69 +141,62 @@ def blocks(page: str | None) -> list[Block]:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                block = next((t for t, _ in reversed(stack) if t not in INLINE), "body")
+                block = stack[solid[-1]][0] if solid else "body"
                 out.append(Block([n for _, n in stack[-DEPTH:]], text, min(1.0, state["linked"] / max(1, len(text))), block))
         state["linked"] = 0
 
     def pop(tag: str, within: set | None = None):
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                for t, _ in stack[i:]:
-                    state["links"] -= t == "a"
-                    state["head"] -= t == "head"
-                del stack[i:]
-                return
-            if within is not None and stack[i][0] in within:
-                return
-
-    def say(text: str):
-        if text and state["head"] <= 0:
-            held.append(text)
-            if state["links"] > 0:
-                state["linked"] += len(text)
-
-    page = page or ""
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            say(page[at : m.start()])
-        at = m.end()
-        if (tag := m["tag"]) is None:
-            if m["cdata"]:
-                say(html.escape(m["cdata"]))
-            elif m["raw"] and m["raw"].lower() in ("textarea", "select", "iframe", "object"):
-                cut()
+        if not (places := open_at.get(tag)):
+            return
+        at = places[-1]
+        if within is not None and any(open_at.get(t) and open_at[t][-1] > at for t in within):
+            return
+        while len(stack) > at:
+            t, _ = stack.pop()
+            open_at[t].pop()
+            if solid and solid[-1] == len(stack):
+                solid.pop()
+
+    for text, tag, attrs, is_end in tokens(page or ""):
+        if tag is None:
+            if not open_at.get("head"):
+                held.append(text)
+                if open_at.get("a"):
+                    state["linked"] += len(text)
             continue
-        tag = tag.lower()
         if tag == "br":
             held.append(" ")
             continue
+        if tag in _RAW and not is_end:
+            if tag in ("textarea", "select", "iframe", "object"):
+                cut()
+            continue
         if tag not in INLINE:
             cut()
-        if m["end"]:
+        if is_end:
             pop(tag, None if tag in SCOPE or tag in INLINE else SCOPE)
             continue
         if tag in VOID:
             continue
         if tag == "body":
-            state["head"] = 0
+            pop("head")
         if tag in ENDS_P:
             pop("p", SCOPE)
         for other in CLOSES.get(tag, ()):
             pop(other, {"ul", "ol", "dl", "table", "select", *SCOPE} - {other})
-        key = (tag, m["attrs"])
+        key = (tag, attrs)
         if (names := known.get(key)) is None:
-            names = known[key] = _names(tag, m["attrs"])
+            names = known[key] = _names(tag, attrs)
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            solid.append(len(stack))
         stack.append((tag, names))
-        state["links"] += tag == "a"
-        state["head"] += tag == "head"
-    say(page[at:] if not page[at:].startswith("<") else "")
     cut()
     return out
 
 
-def features(pages: list[list[Block]]) -> np.ndarray:
-    """Vectors of all blocks of the pages, in order."""
+def features(pages: list[list[Block]], place: np.ndarray | None = None) -> np.ndarray:
+    """Vectors of all blocks of the pages, in order; place: where in its page each block stands, 0 to 1, if the pages are parts."""
     every = [b for p in pages for b in p]
     x = np.zeros((len(every), DIMS), np.float32)
     if not every:
@@ -165,7 +220,8 @@ def features(pages: list[list[Block]]) -> np.ndarray:
     marks = np.zeros(len(every))
     hit = np.flatnonzero((data == 46) | (data == 44) | (data == 59))
     np.add.at(marks, np.searchsorted(offsets, hit, "right") - 1, 1)
-    place = np.concatenate([np.arange(len(p)) / max(1, len(p) - 1) for p in pages if p])
+    if place is None:
+        place = np.concatenate([np.arange(len(p)) / max(1, len(p) - 1) for p in pages if p])
     s = PATH_DIMS + WORD_DIMS
     x[:, s] = np.log1p(count) / 5
     x[:, s + 1] = [b.linked for b in every]
@@ -237,18 +293,61 @@ class BiLSTM:
             g[f"h{d}"], g[f"b{d}"] = gh, dz.sum((0, 1))
         return g
 
+    def read(self, pre: np.ndarray, mask: np.ndarray, d: str, state: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, tuple]:
+        """What one direction adds to the output at each step, and its last state; keeps nothing else."""
+        (h, c), steps = state, len(pre)
+        out, w = np.zeros(pre.shape[:2], np.float32), self.w["o"][:HIDDEN] if d == "a" else self.w["o"][HIDDEN:]
+        for t in range(steps) if d == "a" else range(steps - 1, -1, -1):
+            z = pre[t] + h @ self.w[f"h{d}"]
+            g = _sigmoid(z[:, : 3 * HIDDEN])
+            m = mask[t][:, None]
+            c = m * (g[:, HIDDEN : 2 * HIDDEN] * c + g[:, :HIDDEN] * np.tanh(z[:, 3 * HIDDEN :]))
+            h = m * g[:, 2 * HIDDEN :] * np.tanh(c)
+            out[t] = h @ w
+        return out, (h, c)
+
+    def _start(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+
+    def _side_by_side(self, group: list[list[Block]]) -> list[np.ndarray]:
+        x = features(group)
+        first = np.concatenate([[0], np.cumsum([len(p) for p in group])]).astype(int)
+        padded, mask = pad([x[i:j] for i, j in zip(first[:-1], first[1:], strict=True)])
+        z = padded @ self.w["ox"] + self.w["ob"][0]
+        for d in "ab":
+            z = z + self.read(padded @ self.w[f"x{d}"] + self.w[f"b{d}"], mask, d, self._start(len(group)))[0]
+        p = _sigmoid(z)
+        return [p[: len(page), k] for k, page in enumerate(group)]
+
+    def _in_parts(self, page: list[Block]) -> np.ndarray:
+        """One long page, a bounded number of blocks at a time in each direction."""
+        z = np.zeros(len(page), np.float32)
+        place = np.arange(len(page)) / max(1, len(page) - 1)
+        starts = list(range(0, len(page), CELLS))
+        for d in "ab":
+            state = self._start(1)
+            for i in starts if d == "a" else reversed(starts):
+                x = features([page[i : i + CELLS]], place[i : i + CELLS])
+                out, state = self.read((x @ self.w[f"x{d}"] + self.w[f"b{d}"])[:, None], np.ones((len(x), 1), np.float32), d, state)
+                z[i : i + CELLS] += out[:, 0]
+                if d == "a":
+                    z[i : i + CELLS] += x @ self.w["ox"] + self.w["ob"][0]
+        return _sigmoid(z)
+
     def predict(self, pages: list[list[Block]]) -> list[np.ndarray]:
-        """Probability of main text for every block; pages of like length are read side by side."""
-        x = features(pages)
-        first = np.concatenate([[0], np.cumsum([len(p) for p in pages])]).astype(int)
+        """Probability of main text for every block; pages of like length are read side by side, ``CELLS`` blocks at most, padding included."""
         out: list[np.ndarray] = [np.zeros(0)] * len(pages)
         order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
-        for a in range(0, len(order), 64):
-            group = order[a : a + 64]
-            padded, mask = pad([x[first[i] : first[i + 1]] for i in group])
-            p = self.forward(padded, mask)[0]
-            for k, i in enumerate(group):
-                out[i] = p[: len(pages[i]), k]
+        at = 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and end - at < 64 and len(pages[order[end]]) * (end + 1 - at) <= CELLS:
+                end += 1
+            group = [pages[i] for i in order[at:end]]
+            found = self._side_by_side(group) if len(group[0]) <= CELLS else [self._in_parts(group[0])]
+            for i, p in zip(order[at:end], found, strict=True):
+                out[i] = p
+            at = end
         return out
 
 

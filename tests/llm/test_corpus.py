@@ -4,8 +4,10 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from html import unescape
 
 import numpy as np
 import pytest
@@ -494,6 +496,81 @@ def test_pages(spark):
     assert out[0][2] == "A & B One two. Three four." and out[0][3] == len(out[0][2]) and [o[2] for o in out[1:]] == [""] * 4
 
 
+#: Pages written by hand, in layouts of real sites, and their main texts.
+BY_HAND = [
+    (
+        '<html><body><header><a href="/">The Valley Post</a></header><nav class="main-menu"><a href="/w">World</a> <a href="/s">Sport</a></nav>'
+        "<main><article><h1>Bridge reopens after repairs</h1><p>The old bridge over the river reopened on Monday, two months after a lorry damaged its railing.</p>"
+        "<p>Engineers replaced forty metres of steel, and the council says that traffic is back to normal.</p></article></main>"
+        '<aside class="related"><h3>Related stories</h3><ul><li><a href="/1">Flood warning</a></li></ul></aside><footer>&copy; Valley Post. All rights reserved.</footer></body></html>',
+        "Bridge reopens after repairs The old bridge over the river reopened on Monday, two months after a lorry damaged its railing. "
+        "Engineers replaced forty metres of steel, and the council says that traffic is back to normal.",
+    ),
+    (
+        '<body><div id="cookie-banner">This site uses cookies. <button>Accept</button></div><div class="topnav"><ul><li><a href="#">Start</a></li><li><a href="#">Rezepte</a></li></ul></div>'
+        '<div class="post-content"><h2>Brot backen &ndash; ganz einfach</h2><p>Mehl, Wasser und Salz gut verkneten.</p><p>Den Teig zwei Stunden ruhen lassen, dann bei 220 Grad backen.</p></div>'
+        '<div class="newsletter"><form><label>E-Mail</label><input name="m"><button>Anmelden</button></form></div><div class="footer">Impressum | Datenschutz</div></body>',
+        "Brot backen – ganz einfach Mehl, Wasser und Salz gut verkneten. Den Teig zwei Stunden ruhen lassen, dann bei 220 Grad backen.",
+    ),
+    (
+        "<article><h1>Notes</h1><p>First point, in <em>plain</em> words, which takes a full sentence to say.</p><blockquote><p>A quoted line that belongs to the story.</p></blockquote>"
+        '<div class="advert">Buy two, pay one!</div><p>Last point, and 3 < 5 holds.</p></article><section id="comments"><h3>2 comments</h3><div class="comment"><p>Nice post</p></div></section>',
+        "Notes First point, in plain words, which takes a full sentence to say. A quoted line that belongs to the story. Last point, and 3 < 5 holds.",
+    ),
+]
+
+
+def test_pages_not_of_the_generator(spark):
+    import duckdb
+
+    model = pages.train()
+    for page, want in BY_HAND:
+        assert pages.main_texts([page], model) == [want]
+    found = [r[0] for r in duckdb.sql("select html from '/root/testdata/sf0.001/pages.parquet' order by page_id").fetchall()]
+    block = re.compile(r"</?(?:p|h\d|div|section|aside|article|ul|li|blockquote|table|tr|td)\b[^>]*>")
+    junk = re.compile(r"<(div|aside|section|form|nav|footer)\b.*?</\1>|<!--.*?-->|<script.*?</script>", re.S)
+
+    def story(page):
+        inner = junk.sub("", m[1]) if (m := re.search(r"<article>(.*?)</article>", page, re.S)) else None
+        plain = lambda t: " ".join(unescape(re.sub(r"<[^>]*>", "", t.replace("<br>", " "))).split())
+        return inner and " ".join(filter(None, map(plain, block.split(inner))))
+
+    pairs = [(story(p), t) for p, t in zip(found, pages.main_texts(found, model), strict=True)]
+    pairs = [(a, b) for a, b in pairs if a is not None]
+    assert len(pairs) > 20 and sum(a == b for a, b in pairs) >= 0.95 * len(pairs)
+
+
+def test_pages_lose_no_text_and_cost_linear_time(spark):
+    cut = lambda page: [b.text for b in pages.blocks(page)]
+    assert cut("<p>a</p>< 5 apples are left") == ["a", "< 5 apples are left"]
+    assert cut("<p title=\"a>b\" x='<'>c<b>d</b></p><!-- x --><script>1<2</script>e<div cl") == ["cd", "e"]
+    for page in ('<a b="' * 150_000, "<p \"'>" * 80_000, "<div>" * 40_000 + "</b>" * 40_000, "<b>" * 40_000 + "<h1></h1>x" * 20_000, "<script" * 80_000):
+        start = time.process_time()
+        pages.blocks(page)
+        assert time.process_time() - start < 4
+
+
+def test_pages_in_parts_score_as_in_one(monkeypatch):
+    model = pages.BiLSTM(5)
+    rng = np.random.default_rng(9)
+    found = [pages.blocks(pages.sample_page(rng)) for _ in range(20)] + [pages.blocks("<p>a" * 70)]
+    want = model.predict(found)
+    padded, mask = pages.pad([pages.features([found[-1]])])
+    assert np.allclose(model.forward(padded, mask)[0][:, 0], want[-1], atol=1e-5)
+    monkeypatch.setattr(pages, "CELLS", 16)
+    for a, b in zip(want, model.predict(found), strict=True):
+        assert np.allclose(a, b, atol=1e-5)
+
+
+def test_pages_edges(spark):
+    model = pages.train(60, 1)
+    kind = "page_id long, url string, html string, text string, n_chars int"
+    assert pages.extract(spark.createDataFrame([], kind), model).count() == 0
+    rows = [(1, "u", "<p>x</p>" * 3000, "old", 7), (1, "u", "<p>x</p>" * 3000, "old", 7)]
+    out = pages.extract(spark.createDataFrame(rows, kind), model).collect()
+    assert len(out) == 2 and out[0] == out[1] and out[0]["n_chars"] == len(out[0]["text"]) and out[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     model = pages.BiLSTM(1)
