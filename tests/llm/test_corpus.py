@@ -342,6 +342,38 @@ def test_secret_spans(spark):
     assert lexed(7) == ["Zq8rT2vLx9Pw4Nn"] and lexed(8) == ["hunter2Hunter2!x"] and lexed(9) == [] and lexed(10) == ["aB3dE5", "gH7jK9mN1"]
 
 
+Z = "Zq8rT2vLx9Pw4Nn"
+FLOWS = [
+    ('secret_key = "Zq9_deadbeefdeadbeef_Xy77Kp"', ["Zq9_deadbeefdeadbeef_Xy77Kp"]), (f'signing_key = os.getenv("X", "{Z}")', [Z]), (f'db_pwd = f("{Z}")', [Z]), (f'db_pwd = f"{Z}"', [Z]),
+    (f'db_pwd = """{Z}"""', [Z]), (f'<add key="DbPassword" value="{Z}"/>', [Z]), (f"<password> {Z}</password>", [Z]), (f'<entry key="password">{Z}</entry>', [Z]), (f'client_secret_v = k\nk = "{Z}"', [Z]),
+    ('a="aB3dE5"\nb="gH7jK9mN1"\nauth_key = a + b', ["aB3dE5", "gH7jK9mN1"]), (f'connect(user="joe", password="{Z}")', [Z]), (f'token_v = make(seed="{Z}")', [Z]), ("a = b\nb = a\npwd = a", []),
+    (f'pwd = get(x) or "{Z}"', [Z]), (f'k="{Z}"\npwd = decode(k)', [Z]), (f'pwd = "{Z}".encode()', [Z]), ("os_secret = os.path.join(a.b.c, d)", []), ('note: it (see "this" secret) is fine', []), (f'plain = "{Z}"', []),
+]
+
+
+def test_literals_that_flow_to_sensitive_names():
+    for t, want in FLOWS:
+        assert [t[s:e] for s, k, e in secrets.spans(t) if k == 3] == want, t
+    t = FLOWS[0][0]
+    assert [k for _, k, _ in secrets.spans(t)] == [3, 2] and secrets.redact(t, secrets.spans(t)) == 'secret_key = "[literal]"'
+
+
+def test_lexing_takes_linear_time():
+    chain = "x0 = 'Zq8rT2vLx9'\n" + "".join(f"x{i} = x{i - 1} + 'a{i}'\n" for i in range(1, 6000)) + "pwd = x5999"
+    for t in (f'password_x = "{Z}"\n' * 8000, chain, "a=f(" * 30000 + "pwd='a'", "a=f('x'; " * 20000 + "pwd=1", "x = x + x\n" * 10000 + "pwd = x", "a=" * 50000 + "pwd=1", '<a pwd="' * 30000):
+        start = time.process_time()
+        secrets.redact(t, secrets.spans(t))
+        assert time.process_time() - start < 6
+    assert len(secrets.spans(chain)) == 6000
+
+
+def test_secret_edges(spark):
+    assert secrets.scan(table(spark, [])).count() == 0 and secrets.redacted(table(spark, [])).count() == 0
+    docs = table(spark, [FLOWS[0][0]] * 2 + [None], [7, 7, None]).withColumn("spans", F.lit(1))
+    out = secrets.scan(docs).collect()
+    assert len(out) == 3 and out[0] == out[1] and out[0]["n_hex"] == 1 and out[2]["spans"] == ""
+
+
 def test_redaction_keeps_the_rest(spark):
     out = {r["doc_id"]: r["text"] for r in secrets.redacted(table(spark, SECRETS)).collect()}
     assert out[0] == 'é [assign]" and token:short' and out[4] is None and out[5] == "" and out[9] == SECRETS[9] and "Zq8r" not in out[7]
