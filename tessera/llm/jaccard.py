@@ -184,9 +184,9 @@ def blocks(placed: DataFrame, sketch: DataFrame) -> DataFrame:
     size = placed.groupBy("token").agg((1 + F.greatest(F.expr(f"count(1) div {BLOCK}"), F.expr(f"sum(n) div {BLOCK_SHINGLES}"))).alias("parts")).where("parts > 1")
     size = materialise(size)  # at most a row for BLOCK classes
     side = F.broadcast(size) if small(size) else size
-    dealt = placed.join(side, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long")).withColumn("own", F.expr("pmod(xxhash64(sig, 3), parts)"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
-    return dealt.drop("other", "parts").join(sketch.select("sig", "sketch"), "sig")
+    dealt = placed.join(side, "token", "left").withColumn("cuts", F.coalesce("parts", F.lit(1)).cast("long")).drop("parts").withColumn("own", F.expr("pmod(xxhash64(sig, 3), cuts)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, cuts - 1)"))).withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    return dealt.drop("other").join(sketch.select("sig", "sketch"), "sig")
 
 
 def rest(docs: DataFrame, placed: DataFrame, sketch: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -230,10 +230,13 @@ def rest(docs: DataFrame, placed: DataFrame, sketch: DataFrame, found: DataFrame
         return pa.Table.from_batches([_batches(out, ["a", "b"], [pa.int64(), pa.int64()])])
 
     near = materialise(dealt.groupBy("token", "lo", "hi").applyInArrow(rivals, dealt.schema))
+    # of blocks with the same classes, dealt alike, one is enough
+    key = [F.count(F.lit(1)).alias("c"), F.expr("bit_xor(xxhash64(sig))").alias("x"), F.expr("bit_xor(xxhash64(sig, 1))").alias("y")]
+    once = near.groupBy("token", "lo", "hi", "cuts").agg(*key).groupBy("lo", "hi", "cuts", "c", "x", "y").agg(F.min("token").alias("token")).select("token", "lo", "hi")
+    near = materialise(near.join(once, ["token", "lo", "hi"], "left_semi"))
     discard(dealt)
     parts = segments(docs, near.select("sig"), found).select("sig", "parts").dropDuplicates(["sig"])
-    out = near.join(parts, "sig").groupBy("token", "lo", "hi").applyInArrow(links, "a long, b long").distinct()
-    return out
+    return near.join(parts, "sig").groupBy("token", "lo", "hi").applyInArrow(links, "a long, b long").distinct()
 
 
 def frequency_classes(docs: DataFrame, buckets: int, limit: int = MAX_LISTED) -> tuple[np.ndarray, np.ndarray]:
