@@ -32,24 +32,30 @@ def materialise(df: DataFrame) -> DataFrame:
     return out
 
 
+_ROWS, _BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> dict[str, str]:
+    """Lower the session's Arrow batches to so many rows and ``BATCH_BYTES``, for results that are evaluated after their function has returned.
+
+    Whole texts and segments would make the usual 10,000 rows heavy. Returns the settings as they were.
+    """
+    before = {key: spark.conf.get(key) for key in (_ROWS, _BYTES)}
+    for key, most in ((_ROWS, rows), (_BYTES, BATCH_BYTES)):
+        if not 0 < int(before[key].lower().rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
+    return before
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
-    """Within it, Arrow batches have at most so many rows: whole texts and segments would make the usual 10,000 heavy."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    if not 0 < int(before) <= rows:
-        spark.conf.set(key, str(rows))
+    """small_batches, within it only."""
+    before = small_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
-
-
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Lower the session's Arrow batches to so many rows, for results that are evaluated after their function has returned."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def discard(*tables: DataFrame) -> None:

@@ -34,7 +34,7 @@ from .runs import bucket_count, bucket_of, deltas, planes, undeltas, unplanes
 from .text import chunks, mix, shingle_sets, text_bytes
 
 SHINGLE, PERCENT = 5, 75
-MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK, BLOCK_SHINGLES, FEW, HOT, ROUNDS, ARROW_ROWS = 1 << 20, 4, 800_000, 1024, 1_000_000, 4, 2000, 3, 1500
+MAX_LISTED, FRAGMENTS, BATCH_ENTRIES, BLOCK, BLOCK_SHINGLES, FEW, HOT, ROUNDS, ARROW_ROWS = 1 << 20, 4, 800_000, 1024, 1_000_000, 4, 2000, 3, 1000
 
 
 def sets_of(batch: pa.RecordBatch, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -417,7 +417,7 @@ def test_surrogates_stay_distinct(spark):
 
 
 def test_surrogates_do_not_run_out(spark):
-    texts = [f"Dr {'ΑΒΓΔΕΖΗΘ'[i // 5]}{'αβγδε'[i % 5]}ρω Παππάς" for i in range(40)] + [f"call +1{i:02}" for i in range(100)]
+    texts = [f"Dr {'ΑΒΓΔΕΖΗΘ'[i // 5]}{'αβγδε'[i % 5]}ρω Νικολάου" for i in range(40)] + [f"call +1{i:02}" for i in range(100)]
     texts += [f"to {chr(97 + i)}@b.org" for i in range(26)]
     out = [r["text"] for r in sorted(pii.replace(table(spark, texts)).collect(), key=lambda r: r["doc_id"])]
     for part, at in ((slice(0, 40), 1), (slice(40, 140), 1), (slice(140, 166), 1)):
@@ -426,6 +426,54 @@ def test_surrogates_do_not_run_out(spark):
     assert {w for t in out[:40] for w in t.split()[1].split("-")} <= set(pii.NAMES["given_n_greek"].split())
 
 
+COREFERENCE = [
+    "Dr Anna Weber, Frau Anna Weber and Anna Weber's son; WEBER left, Webers stay", "Frau Anna Weber", "госпожа Ольга Иванова и господин Пётр Иванов", "κυρία Dr Μαρία Παππά, Mr Νίκος Παππάς", "Dr Anna Keller met Dr Kim Weber",
+    "IBAN DE89 3704 0044 0532 0130 00 or DE88 3704 0044 0532 0130 00", "\ufdd0\ufdd1\ufdd2\ufdd3 Mr. Bob Stone, mail bob@b.org, Stone", "Dr Ольга Смирнова",
+]
+
+
+def test_surrogates_keep_coreference_gender_and_checks(spark):
+    docs = table(spark, COREFERENCE).withColumn("n_entities", F.lit("x")).withColumn("_cut", F.lit(1))
+    out = pii.replace(docs)
+    assert out.columns.count("n_entities") == 1 and "_cut" in out.columns
+    t = {r["doc_id"]: r["text"] for r in out.collect()}
+    m = re.match(r"Dr (\S+ \S+), Frau (\S+ \S+) and (\S+ \S+)'s son; (\S+) left, Webers stay$", t[0])
+    assert m[1] == m[2] == m[3] and m[4] == m[1].split()[1].upper() and t[1] == f"Frau {m[1]}" and m[1].split()[0] in pii.NAMES["given_f_latin"].split()
+    assert t[4].split()[1] == m[1].split()[0] and t[4].split()[-1] == m[1].split()[1]
+    w = t[2].split()
+    assert w[2] == w[6] + "а" and w[6] in pii.NAMES["family_cyrillic"].split() and w[1] in pii.NAMES["given_f_cyrillic"].split()
+    w = re.findall(r"\w+", t[3])
+    assert w[-1] == w[3] + "ς" and w[3] != "Παππά" and w[2] in pii.NAMES["given_f_greek"].split()
+    sound = [int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1 for x in (y.replace(" ", "") for y in re.findall(r"DE[\d ]+\d", t[5]))]
+    assert sound == [True, False] and "3704" not in t[5]
+    assert "Stone" not in t[6] and "Bob" not in t[6] and "bob@" not in t[6] and t[6].startswith("\ufdd0\ufdd1\ufdd2\ufdd3 Mr. ")
+    assert t[7].split()[1] in pii.NAMES["given_f_cyrillic"].split() and t[7].endswith("а")
+
+
+def test_surrogates_replace_what_the_patterns_find_and_nothing_else(spark):
+    """Against a plain loop over the same patterns: what lies between mentions stays, every mention changes, and alike ones alike."""
+    import regex
+
+    texts = [*PERSONS, *corpus(4, 40), "x" * 60000 + " a@b.example.org " + "y " * 30000]
+    docs = table(spark, texts, [None if i % 5 == 0 else i // 3 for i in range(len(texts))]).withColumn("lang", F.monotonically_increasing_id())
+    before = {r["lang"]: r["text"] for r in docs.collect()}
+    after = {r["lang"]: r["text"] for r in pii.replace(docs).collect()}
+    assert len(after) == len(before) and set(after) == set(before)
+    pattern, alike = regex.compile(pii.COMBINED.replace(r"\p{Lu}", r"\p{Lu}")), {}
+    for k, old in before.items():
+        if not old or not pattern.search(old):
+            assert after[k] == old
+            continue
+        at = 0
+        for m in pattern.finditer(old):
+            gap = old[at : m.start()]
+            assert gap in after[k]
+            at = m.end()
+            if "@" in m[0]:
+                assert m[0] not in after[k] and alike.setdefault(m[0].lower(), len(m[0])) == len(m[0])
+        assert after[k].endswith(old[at:])
+
+
 # --- mixing
 
 
@@ -455,6 +503,28 @@ def test_mixing_given_weights(spark):
     assert abs(n["a"] / len(out) - 0.75) < 0.02
 
 
+@pytest.mark.parametrize("weights, steps", [({"a": 0.3, "b": 0.6995, "c": 0.0005, "d": 0}, 16), ({"a": 1 / 3, "b": 2 / 3}, 16), ({"a": 0.37, "b": 0.6295, "c": 0.0005, None: 0.01}, 1), ({"a": 1.0}, 16)])
+def test_mixing_keeps_to_the_weights_as_given(spark, monkeypatch, weights, steps):
+    monkeypatch.setattr(mixing, "STEP", steps)
+    if steps == 1:  # many jobs
+        monkeypatch.setattr(mixing, "STEP_SLOTS", 512)
+        monkeypatch.setattr(mixing, "_SCHEDULE", mixing._SCHEDULE.replace("4096", "512"))
+    rows = [(i, "a") for i in range(900)] + [(i, "b") for i in range(1900)] + [(i, "c") for i in range(4)] + [(i, "d") for i in range(30)] + [(i, None) for i in range(40)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights, block_docs=2).collect()
+    assert len(out) == len(rows)
+    live = {k: v for k, v in weights.items() if v > 0}
+    assert all((r["slot"] is None) == (r["source"] not in live) and not (r["slot"] is None and r["in_mix"]) for r in out)
+    slots = {(r["source"], r["block"]): r["slot"] for r in out if r["slot"] is not None}
+    assert len(set(slots.values())) == len(slots)
+    horizon = max(r["slot"] for r in out if r["in_mix"]) + 1
+    total = sum(live.values())
+    assert horizon > 100
+    for source, w in live.items():
+        taken = np.array(sorted(s for (k, _), s in slots.items() if k == source))
+        t = np.arange(horizon + 1)
+        assert np.abs(np.searchsorted(taken, t) - w / total * t).max() < 1
+
+
 # --- toxicity
 
 
