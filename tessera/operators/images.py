@@ -46,8 +46,8 @@ def match_bases(bases: DataFrame, candidates: DataFrame, target: float = pixels.
         reason, best, offsets = None, None, []
         for _, c in many.sort_values(["rank", "avatar"]).iterrows():
             try:
-                search = pixels.ScaleSearch(scene, pixels.prepared_avatar(_decoded(c)), coarse, target=target)
-                score, box = search.run()
+                search = pixels.SizeFit(scene, pixels.prepared_avatar(_decoded(c)))
+                score, box = search.run(coarse=coarse, target=target)
             except Exception as e:  # noqa: BLE001
                 reason = reason or f"{c['avatar']}: {e}"
                 continue

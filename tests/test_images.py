@@ -36,8 +36,8 @@ def scene(top=200, left=300, seed=1, scale=1.0):
     return out
 
 
-def search(base, template, **kw):
-    return pixels.ScaleSearch(pixels.Correlator(pixels.prepared_base(base)), pixels.prepared_avatar(template), **kw)
+def search(base, template):
+    return pixels.SizeFit(pixels.Correlator(pixels.prepared_base(base)), pixels.prepared_avatar(template))
 
 
 def box_iou(a, b):
@@ -64,15 +64,10 @@ def test_search_above_the_edge_and_scaled():
 
 def tried(peak, height):
     """The sizes a search tries, in order, and its answer, when scores fall off evenly from a peak."""
-
-    class Drawn(pixels.ScaleSearch):
-        def _try(self, offset):
-            self.trace.setdefault(offset, (height - abs(offset - peak) / 200, 0, 0))
-            return self.trace[offset][0]
-
-    s = Drawn(None, np.zeros((180, 180)))
-    s.run()
-    return list(s.trace), s.best
+    seen = {}
+    fit = pixels.SizeFit(None, np.zeros((180, 180)))
+    best = pixels.climb(lambda o: seen.setdefault(o, height - abs(o - peak) / 200), fit.fits)
+    return list(seen), best
 
 
 def test_search_path_below_the_target():
