@@ -2,18 +2,23 @@
 
 Symbols are lower-cased words and one end after each text. The root is the discounted unigram distribution of
 the training texts (its discount, by the numbers of words seen once and twice, goes to unseen words).
-Below it, contexts of one and two words are kept where they matter: a context is a candidate if it
-and its listed continuations occur at least ``share`` of all training tokens (``LEAST`` times at least), so the tree has
-at most 1 / share contexts a level however large the corpus; it stays if its occurrences times the
-Kullback-Leibler divergence of its next-word distribution from that of its longest kept suffix reach
-``gain`` nats. Continuations that are not listed share the rest of the mass in the suffix's proportions, so
+Below it, contexts of any length are kept where they matter. A context is a candidate if its longest proper suffix is a
+state (or the root) and it is followed by some word ``least`` times; those words are its listed continuations. It becomes a state if its occurrences times the
+Kullback-Leibler divergence of its next-word distribution from that of its longest proper suffix reach
+``gain`` nats; the tree grows a word deeper as long as a round keeps any context. Neither bound depends on the size of the corpus, so what is gathered grows with it.
+Continuations that are not listed share the rest of the mass in the suffix's proportions, so
 every state's distribution sums to one. A text's score is the sum of log10 probabilities, each from the
 longest suffix that is a state.
 
+The tree is a table of (key, value): a state has one entry, and each of its listed words one, and a token's log10 probability is its root's plus
+the values of all states on its chain of suffixes and of those that list it. So scoring adds values up by key, in any order: the ``HEAD_ENTRIES``
+most used are broadcast (16 bytes each), all others meet the texts in a join. A bit table of fixed size (``BITS``) tells most keys that the
+table does not hold; it steers the work only.
+
 Counts are made of all training texts by sorted runs, merged by hash range. The ``HEAD_WORDS`` most
 frequent words are broadcast (20 bytes each); all other words meet their counts in a join, so counts are exact
 for every word. Edge cases: a null or empty text is its end alone; rows with a null id are training rows; repeated rows are
-each scored; without training rows every probability is 1 (score 0).
+each scored; without training rows every probability is 1 (score 0); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,14 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialise, table
-from .runs import bucket_count, count_run, deltas, planes, sum_runs, undeltas, unplanes
-from .text import chunks, text_bytes, word_hashes, words
+from .common import arrow_rows, discard, materialise, table
+from .runs import bucket_count, bucket_of, count_run, deltas, planes, sum_runs, undeltas, unplanes
+from .text import chunks, mix, text_bytes, word_hashes, words
 
-HEAD_WORDS, SHARE, LEAST, GAIN, DISCOUNT = 1 << 19, 3e-6, 6, 12.0, 0.6
-RUN_TOKENS, ARROW_ROWS = 1_000_000, 2000
+HEAD_WORDS, HEAD_ENTRIES, BITS, LEAST, GAIN, DISCOUNT = 1 << 19, 1 << 19, 1 << 26, 2, 12.0, 0.6
+RUN_TOKENS, RUN_EVENTS, ARROW_ROWS = 1_000_000, 600_000, 2000
 END = np.uint64(0x3C6EF372FE94F82B)
-_BITS = 20
+_BLOCK = 1 << 12  # bits in a row of the bit table
 
 
 def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -100,94 +105,194 @@ def word_ids(head: np.ndarray, h: np.ndarray) -> np.ndarray:
     return find(head, value)[inverse]
 
 
-def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One number of two places; where either is -1, a number that no table holds."""
-    return np.where((a >= 0) & (b >= 0), (a << _BITS) | b, -1).astype(np.int64).view(np.uint64)
+def chain(h: np.ndarray, rows: np.ndarray, depth: int, above: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The key of the context of so many words before each place, from the keys one word shorter; and where there are so many."""
+    out, ok = np.zeros(len(h), np.uint64), np.zeros(len(h), bool)
+    if len(h) > depth:
+        ok[depth:] = rows[depth:] == rows[:-depth]
+        longer = h[:-depth] if above is None else above[depth:] * np.uint64(0x9E3779B97F4A7C15) + h[:-depth]
+        out[depth:] = mix(longer + np.uint64(depth))
+    return out, ok
 
 
-def before(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
-    """The id k places earlier in the same row; -1 where there is none."""
-    out = np.full(len(ids), -1, np.int64)
-    if len(ids) > k:
-        out[k:] = np.where(rows[k:] == rows[:-k], ids[:-k], -1)
-    return out
+class Bits:
+    """A bit table of fixed size over keys: a key it holds is always found, others seldom."""
 
+    def __init__(self, raw: np.ndarray):
+        self.raw = raw
 
-class Tree:
-    """Arrays of the fitted tree; see fit()."""
+    @staticmethod
+    def places(keys: np.ndarray, bits: int) -> np.ndarray:
+        return (mix(keys ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(bits)).astype(np.int64)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = self.places(keys, len(self.raw) * 8)
+        return (self.raw[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+    @classmethod
+    def of(cls, keys: DataFrame, bits: int | None = None) -> Bits:
+        """Of a column of keys: gathered in blocks on the executors; the driver gets BITS / 8 bytes at most."""
+        bits = bits or BITS
+
+        def spread(batches):
+            whole = np.zeros(bits, bool)
+            for batch in batches:
+                whole[cls.places(batch.column(0).to_numpy().view(np.uint64), bits)] = True
+            packed = np.packbits(whole, bitorder="little").reshape(-1, _BLOCK // 8)
+            used = np.flatnonzero(packed.any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([packed[i].tobytes() for i in used], pa.binary())], names=["block", "bits"])
 
-    head: np.ndarray
-    root: np.ndarray
-    counts: np.ndarray
+        def union(t: pa.Table) -> pa.Table:
+            got = np.bitwise_or.reduce([np.frombuffer(x.as_py(), np.uint8) for x in t.column("bits")])
+            return pa.table([t.column("block")[:1], pa.array([got.tobytes()], pa.binary())], names=["block", "bits"])
+
+        raw = np.zeros(bits // 8, np.uint8).reshape(-1, _BLOCK // 8)
+        found = keys.mapInArrow(spread, "block long, bits binary").groupBy("block").applyInArrow(union, "block long, bits binary").toArrow()
+        for block, part in zip(found.column("block").to_pylist(), found.column("bits").to_pylist(), strict=True):
+            raw[block] = np.frombuffer(part, np.uint8)
+        return cls(raw.reshape(-1))
+
+
+class Tree:
+    """The fitted tree: the root's head words as arrays, its other words and all entries as tables."""
 
-    def __init__(self, head, counts, n, v, once, twice):
-        self.head, self.counts, self.n, self.v = head, counts, n, v
+    def __init__(self, head, counts, n, v, once, twice, tail):
+        self.head, self.counts, self.n, self.v, self.tail = head, counts, n, v, tail
         self.discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
         self.root = np.log10((counts - self.discount) / n) if n else np.zeros(len(head))
         self.unseen = float(np.log10(self.discount * v / n)) if n else 0.0
-        none, zero = np.zeros(0, np.uint64), np.zeros(0)
-        self.pairs, self.pair_p, self.triples, self.triple_p = none, zero, none, zero
-        self.one = np.full(len(head), np.nan)  # log10 of the rest's factor of a kept one-word context
-        self.two, self.two_rest = none, zero
-
-    def parent(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 probabilities of head words after a one-word context (or none: -1)."""
-        out = self.root[word].copy()
-        has = (context >= 0) & ~np.isnan(self.one[context])
-        at = find(self.pairs, pair_key(context, word))
-        return np.where(has, np.where(at >= 0, self.pair_p[np.maximum(at, 0)] if len(self.pair_p) else 0.0, out + np.nan_to_num(self.one[context])), out)
-
-    def grow(self, level: int, context: np.ndarray, shorter: np.ndarray, word: np.ndarray, times: np.ndarray, total: np.ndarray, gain: float) -> int:
-        """Keep the contexts (sorted, with their listed continuations) that diverge; returns their number."""
-        if not len(context):
-            return 0
-        heads = np.flatnonzero(np.diff(context, prepend=context[:1] + np.uint64(1)))
-        size = np.diff(np.append(heads, len(context)))
-        p = (times - DISCOUNT) / total
-        q = 10 ** self.parent(shorter, word)
-        sums = lambda z: np.add.reduceat(z, heads)
-        rest_p, rest_q = np.maximum(1 - sums(p), 1e-9), np.maximum(1 - sums(q), 1e-9)
-        raw = times / total
-        raw_rest = np.maximum(1 - sums(raw), 0)
-        divergence = sums(raw * np.log(raw / q)) + np.where(raw_rest > 0, raw_rest * np.log(np.maximum(raw_rest, 1e-12) / rest_q), 0)
-        keep = total[heads] * divergence >= gain
-        listed = np.repeat(keep, size)
-        key = (context << np.uint64(_BITS)) | word.astype(np.uint64)
-        order = np.argsort(key[listed])
-        key, logp = key[listed][order], np.log10(p[listed])[order]
-        rest = np.log10(rest_p / rest_q)
-        if level == 1:
-            self.pairs, self.pair_p = key, logp
-            self.one[context[heads][keep].astype(np.int64)] = rest[keep]
-        else:
-            self.triples, self.triple_p = key, logp
-            self.two, self.two_rest = context[heads][keep], rest[keep]
-        return int(keep.sum())
-
-    def score(self, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Head places (-1: elsewhere) and log10 probabilities, without the root's part for words that are no head words."""
-        ids = word_ids(self.head, h)
-        v, u = before(ids, rows, 1), before(ids, rows, 2)
-        known = ids >= 0
-        out = np.where(known, self.root[np.maximum(ids, 0)], 0.0) if len(self.root) else np.zeros(len(ids))
-        if len(self.pairs):
-            has = v >= 0
-            has[has] = ~np.isnan(self.one[v[has]])
-            at = find(self.pairs, pair_key(v, ids))
-            out = np.where(has, np.where(at >= 0, self.pair_p[at], out + np.nan_to_num(self.one[np.maximum(v, 0)])), out)
-        if len(self.two):
-            context = pair_key(u, v)
-            at = find(self.two, context)
-            has = np.flatnonzero(at >= 0)
-            if len(has):
-                w = ids[has]
-                triple = find(self.triples, np.where(w >= 0, ((context[has] << np.uint64(_BITS)) | np.maximum(w, 0).astype(np.uint64)).view(np.int64), -1).view(np.uint64))
-                out[has] = np.where(triple >= 0, self.triple_p[triple], out[has] + self.two_rest[at[has]])
-        return ids, out
-
-
-def fit(docs: DataFrame, share: float = SHARE, gain: float = GAIN, head_words: int = HEAD_WORDS) -> tuple[Tree, DataFrame]:
-    """The tree, and (word, n) of the training words that are no head words. docs: text, train."""
+        self.depth, self.levels = 0, []  # levels: (key, value, times) of each depth
+
+    def entries(self) -> DataFrame | None:
+        out = None
+        for level in self.levels:
+            out = level if out is None else out.unionByName(level)
+        return out
+
+
+def _events(train: DataFrame, depth: int, buckets: int, seen) -> DataFrame:
+    """(ctx, above, word, times, total): contexts of so many words with the words that follow them ``least`` times; see _level.
+
+    seen: None at depth 1, else the broadcast Bits of the depth before: keys of states, and of words listed after any context.
+    """
+
+    def count(batches):
+        held, n = [], 0
+
+        def flush():
+            ctx, above, word = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((word, ctx))
+            ctx, above, word = ctx[order], above[order], word[order]
+            heads = np.flatnonzero(np.concatenate([[True], (ctx[1:] != ctx[:-1]) | (word[1:] != word[:-1])]))
+            times = np.diff(np.append(heads, len(ctx))).astype(np.uint32)
+            ctx, above, word = ctx[heads], above[heads], word[heads]
+            b = bucket_of(ctx, buckets)
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1, [len(b)]])
+            rows = []
+            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                first = np.flatnonzero(np.concatenate([[True], ctx[i + 1 : j] != ctx[i : j - 1]]))
+                size = np.diff(np.append(first, j - i)).astype(np.uint32)
+                rows.append((int(b[i]), deltas(ctx[i:j][first]), planes(size), planes(above[i:j][first]) if depth > 1 else b"", planes(word[i:j]), planes(times[i:j])))
+            columns = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=names)
+
+        for batch in chunks(batches):
+            h, rows = tokens(batch)
+            if not len(h):
+                continue
+            above, ok = np.zeros(len(h), np.uint64), np.ones(len(h), bool)
+            ctx, listed, before = None, None, None
+            for d in range(1, depth + 1):
+                above, before = (ctx if ctx is not None else above), ok
+                ctx, ok = chain(h, rows, d, ctx)
+            if depth > 1:
+                listed = seen.value.has(above + h) & before  # the word is listed after the shorter context
+                longer = np.concatenate([[False], listed[:-1]])  # so is the context's own last word, a place earlier
+                ok &= seen.value.has(~above) & longer
+            at = np.flatnonzero(ok)
+            word = h[at] if depth == 1 else np.where(listed[at], h[at], np.uint64(0))
+            if len(at):
+                held.append((ctx[at], above[at], word))
+                n += len(at)
+            if n >= RUN_EVENTS:
+                yield flush()
+                n = 0
+        if n:
+            yield flush()
+
+    names = ["bucket", "ctx", "size", "above", "word", "times"]
+
+    def total(t: pa.Table) -> pa.Table:
+        parts = []
+        for r in range(t.num_rows):
+            c, size, a, w, n = (t.column(x)[r].as_py() for x in names[1:])
+            size = unplanes(size, np.uint32)
+            c = undeltas(c)
+            a = unplanes(a, np.uint64) if depth > 1 else np.zeros(len(c), np.uint64)
+            parts.append((np.repeat(c, size), np.repeat(a, size), unplanes(w, np.uint64), unplanes(n, np.uint32).astype(np.int64)))
+        ctx, above, word, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((word, ctx))
+        ctx, above, word, times = ctx[order], above[order], word[order], times[order]
+        new = np.concatenate([[True], ctx[1:] != ctx[:-1]])
+        heads = np.flatnonzero(new | np.concatenate([[True], word[1:] != word[:-1]]))
+        times = np.add.reduceat(times, heads)
+        ctx, above, word, first = ctx[heads], above[heads], word[heads], np.flatnonzero(new[heads])
+        every = np.repeat(np.add.reduceat(times, first), np.diff(np.append(first, len(heads))))
+        keep = (times >= least) & (word != 0)
+        columns = [ctx[keep].view(np.int64), above[keep].view(np.int64), word[keep].view(np.int64), times[keep], every[keep]]
+        return pa.table([pa.array(c) for c in columns], names=["ctx", "above", "word", "times", "total"])
+
+    least = LEAST
+    dealt = train.mapInArrow(count, "bucket int, ctx binary, size binary, above binary, word binary, times binary")
+    return dealt.groupBy("bucket").applyInArrow(total, "ctx long, above long, word long, times long, total long")
+
+
+def _wrapped(a: str, b: str) -> str:
+    """a + b modulo 2^64, as keys add up."""
+    return f"cast(pmod(cast({a} as decimal(38,0)) + {b} + 9223372036854775808, 18446744073709551616) - 9223372036854775808 as long)"
+
+
+def _level(tree: Tree, listed: DataFrame, above: DataFrame | None, gain: float) -> tuple[DataFrame, DataFrame] | None:
+    """Entries (key, value, times), and (key, logp) of the listed words, of the contexts that diverge; None if none does."""
+    if above is None:
+        shared = listed.sparkSession.sparkContext.broadcast((tree.head, tree.root))
+
+        def rooted(batches):
+            head, root = shared.value
+            for batch in batches:
+                at = find(head, batch.column("word").to_numpy().view(np.uint64))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(root[at], mask=at < 0)], names=[*batch.schema.names, "logq"])
+
+        known = listed.mapInArrow(rooted, "ctx long, above long, word long, times long, total long, logq double")
+        tail = tree.tail.select("word", F.log10((F.col("n") - tree.discount) / float(tree.n)).alias("tailq"))
+        rare = known.where("logq is null").drop("logq").join(tail, "word").withColumnRenamed("tailq", "logq")
+        known = known.where("logq is not null").unionByName(rare)
+    else:
+        known = listed.withColumn("key", F.expr(_wrapped("above", "word"))).join(above.withColumnRenamed("logp", "logq"), "key").drop("key")
+    known = materialise(known.withColumns({"p": F.expr(f"(times - {DISCOUNT}) / total"), "q": F.expr("power(10D, logq)")}))
+    sums = known.groupBy("ctx").agg(
+        F.first("total").alias("n"),
+        F.greatest(1 - F.sum("p"), F.lit(1e-9)).alias("rp"),
+        F.greatest(1 - F.sum("q"), F.lit(1e-9)).alias("rq"),
+        F.sum(F.expr("times / total * ln(times / total / q)")).alias("kl"),
+        F.greatest(1 - F.sum(F.expr("times / total")), F.lit(0.0)).alias("rest"),
+    )
+    sums = sums.where(F.expr(f"n * (kl + case when rest > 0 then rest * ln(greatest(rest, 1e-12) / rq) else 0 end) >= {gain}"))
+    states = materialise(sums.select("ctx", "n", F.expr("log10(rp / rq)").alias("rest")))
+    if states.isEmpty():
+        discard(known, states)
+        return None
+    words = known.join(states.drop("n"), "ctx").withColumn("key", F.expr(_wrapped("ctx", "word")))
+    words = materialise(words.select("key", F.expr("log10(p)").alias("logp"), F.expr("log10(p) - logq - rest").alias("value"), "times"))
+    # a state's own key is its context's complement
+    entries = states.select(F.expr("~ctx").alias("key"), F.col("rest").alias("value"), F.col("n").alias("times")).unionByName(words.select("key", "value", "times"))
+    discard(known)
+    return entries, words.select("key", "logp")
+
+
+def fit(docs: DataFrame, gain: float = GAIN, head_words: int = HEAD_WORDS) -> Tree:
+    """The tree of the training rows. docs: text, train."""
     buckets = bucket_count(docs)
     train = docs.where("train").select("text", "train")
     words_seen = materialise(_counts(train, buckets, lambda h, rows, mask: h, 1))
@@ -225,88 +330,115 @@ def fit(docs: DataFrame, share: float = SHARE, gain: float = GAIN, head_words: i
 
     head, counts = _collected(words_seen.mapInArrow(lambda b: split(b, True), "value binary, times binary").collect())
     tail = words_seen.mapInArrow(lambda b: split(b, False), "word long, n long")
-    tree = Tree(head, counts, n, v, sum(r["once"] for r in found), sum(r["twice"] for r in found))
-    floor = max(LEAST, int(np.ceil(n * share)))
-    frequent = np.flatnonzero(counts >= floor)
-    if not len(frequent):
-        return tree, tail
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((head, counts >= floor))
-
-    def pairs_of(h, rows, mask):
-        names, often = shared.value
-        ids = word_ids(names, h)
-        ids = np.where((ids >= 0) & often[np.maximum(ids, 0)], ids, -1)
-        key = pair_key(before(ids, rows, 1), ids)
-        return key[key != np.uint64(0xFFFFFFFFFFFFFFFF)]
-
-    pairs, times = _collected(_counts(train, buckets, pairs_of, floor).collect())
-    total = counts  # a word that is no end is as often a context as it occurs
-    context, word = pairs >> np.uint64(_BITS), (pairs & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-    tree.grow(1, context, np.full(len(pairs), -1), word, times, total[context.astype(np.int64)], gain)
-    table_of_pairs = spark.sparkContext.broadcast(pairs)
-
-    def triples_of(h, rows, mask):
-        names, _ = shared.value
-        ids = word_ids(names, h)
-        one = pair_key(before(ids, rows, 1), ids)
-        ok = find(table_of_pairs.value, one) >= 0
-        prev_ok = np.concatenate([[False], ok[:-1]])
-        at = np.flatnonzero(ok & prev_ok & (rows == np.concatenate([[-1], rows[:-1]])))
-        at = at[at >= 2]
-        at = at[rows[at - 2] == rows[at]]
-        return (ids[at - 2].astype(np.uint64) << np.uint64(2 * _BITS)) | one[at]
-
-    triples, often = _collected(_counts(train, buckets, triples_of, floor).collect())
-    context, word = triples >> np.uint64(_BITS), (triples & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-    at = find(pairs, context)
-    tree.grow(2, context, (context & np.uint64((1 << _BITS) - 1)).astype(np.int64), word, often, times[at].astype(np.float64), gain)
-    return tree, tail
-
-
-def score(docs: DataFrame, tree: Tree, tail: DataFrame) -> DataFrame:
+    tree = Tree(head, counts, n, v, sum(r["once"] for r in found), sum(r["twice"] for r in found), tail)
+    spark, above, seen = docs.sparkSession, None, None
+    while n:
+        listed = materialise(_events(train, tree.depth + 1, buckets, seen))
+        level = None if listed.isEmpty() else _level(tree, listed, above, gain)
+        if level is None:
+            discard(listed)
+            break
+        entries, above = level
+        tree.levels.append(entries)
+        tree.depth += 1
+        states = entries.select("key").unionByName(listed.select(F.expr(_wrapped("ctx", "word")).alias("key")))
+        if seen is not None:
+            seen.unpersist()
+        seen = spark.sparkContext.broadcast(Bits.of(states))
+        discard(listed)
+    return tree
+
+
+def head_entries(tree: Tree, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys and values of the most used entries, at most so many, sorted by key; and how often an entry of them is used at least."""
+    every = tree.entries()
+    if every is None:
+        return np.zeros(0, np.uint64), np.zeros(0), 0
+    least, room = 1 << 40, most
+    for r in every.groupBy(F.floor(F.log2("times")).alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect():
+        if r["n"] > room:
+            break
+        least, room = 1 << r["level"], room - r["n"]
+    got = every.where(F.col("times") >= least).select("key", "value").toArrow()
+    keys, values = got.column("key").to_numpy().view(np.uint64), got.column("value").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order], least
+
+
+def score(docs: DataFrame, tree: Tree, head_entries_at_most: int = HEAD_ENTRIES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. docs: doc_id, text, train."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-    names = ["key", "doc_id", "train", "n_tokens", "n_known", "base_score", "score", "word", "times"]
-    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
+    keys_, values_, least = head_entries(tree, head_entries_at_most)
+    rest = tree.entries().where(F.col("times") < least) if tree.levels else None
+    more = Bits.of(rest.select("key")) if rest is not None and not rest.isEmpty() else None
+    shared = docs.sparkSession.sparkContext.broadcast((tree.head, tree.counts, tree.root, tree.n, tree.v, tree.depth, keys_, values_, more))
+    names = ["key", "doc_id", "train", "n_tokens", "n_known", "base_score", "score", "word", "entry", "times"]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+
+    def grouped(rows: np.ndarray, keys: np.ndarray, key: np.ndarray, column: str) -> pa.RecordBatch:
+        """Keys to look up elsewhere, once a row with their number."""
+        order = np.lexsort((keys, rows))
+        r, w = rows[order], keys[order]
+        heads = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (w[1:] != w[:-1])]))
+        filled = {"key": pa.array(key[r[heads]]), column: pa.array(w[heads].view(np.int64)), "times": pa.array(np.diff(np.append(heads, len(r))))}
+        return pa.RecordBatch.from_arrays([filled.get(c) if c in filled else pa.nulls(len(heads), t) for c, t in zip(names, types, strict=True)], names=names)
 
     def run(batches):
-        t = shared.value
+        head, counts, root, n_train, v_train, depth, known_keys, known_values, elsewhere = shared.value
         key = TaskContext.get().partitionId() << 34
         for batch in chunks(batches):
             h, rows = tokens(batch)
             n = batch.num_rows
-            ids, logp = t.score(h, rows)
+            ids = word_ids(head, h)
             known = ids >= 0
-            base = np.where(known, np.log10((t.counts[np.maximum(ids, 0)] + 1.0) / (t.n + t.v + 1)), 0.0) if len(t.counts) else np.zeros(len(ids))
+            safe = np.maximum(ids, 0)
+            logp = np.where(known, root[safe], 0.0) if len(root) else np.zeros(len(ids))
+            base = np.where(known, np.log10((counts[safe] + 1.0) / (n_train + v_train + 1)), 0.0) if len(counts) else np.zeros(len(ids))
+            away: list[tuple[np.ndarray, np.ndarray]] = []
+            ctx, live = None, np.ones(len(h), bool)
+            for d in range(1, depth + 1):
+                ctx, ok = chain(h, rows, d, ctx)
+                at = np.flatnonzero(ok & live)
+                live = np.zeros(len(h), bool)
+                for states in (True, False):
+                    keys = ~ctx[at] if states else ctx[at] + h[at]
+                    place = find(known_keys, keys)
+                    hit = place >= 0
+                    np.add.at(logp, at[hit], known_values[place[hit]])
+                    if elsewhere is not None:
+                        there = np.flatnonzero(~hit)
+                        there = there[elsewhere.has(keys[there])]
+                        away.append((rows[at[there]], keys[there]))
+                        hit[there] = True
+                    if states:  # only a state's words and longer contexts have entries
+                        at = at[hit]
+                        live[at] = True
             keys = key + np.arange(n)
             key += n
-            none = pa.nulls
             sums = lambda z: np.bincount(rows, z, minlength=n)  # noqa: B023, E731
             columns = [keys, batch.column("doc_id"), batch.column("train"), np.bincount(rows, minlength=n), sums(known).astype(np.int64), sums(base), sums(logp)]
-            yield pa.RecordBatch.from_arrays([*(c if isinstance(c, pa.Array) else pa.array(c) for c in columns), none(n, pa.int64()), none(n, pa.int64())], names=names)
-            rare = np.flatnonzero(~known)
-            if len(rare):
-                order = rare[np.lexsort((h[rare], rows[rare]))]
-                r, w = rows[order], h[order]
-                heads = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (w[1:] != w[:-1])]))
-                times = np.diff(np.append(heads, len(r)))
-                m = len(heads)
-                blank = [none(m, x) for x in types[1:7]]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[r[heads]]), *blank, pa.array(w[heads].view(np.int64)), pa.array(times)], names=names)
-
-    kinds = "key long, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double, word long, times long"
+            yield pa.RecordBatch.from_arrays([*(c if isinstance(c, pa.Array) else pa.array(c) for c in columns), *(pa.nulls(n, pa.int64()) for _ in range(3))], names=names)
+            if (~known).any():
+                yield grouped(rows[~known], h[~known], keys, "word")
+            if away and sum(len(r) for r, _ in away):
+                yield grouped(*(np.concatenate(x) for x in zip(*away, strict=True)), keys, "entry")
+
+    kinds = "key long, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double, word long, entry long, times long"
     both = materialise(docs.select("doc_id", "text", "train").mapInArrow(run, kinds))
-    rare = both.where("word is not null").select("key", "word", "times").join(tail, "word", "left")
+    rare = both.where("word is not null").select("key", "word", "times").join(tree.tail, "word", "left")
     n, v = float(tree.n), float(tree.n + tree.v + 1)
     found = F.coalesce("n", F.lit(0))
     root = F.when(found > 0, F.log10((found - tree.discount) / n)).otherwise(F.lit(tree.unseen)) if tree.n else F.lit(0.0)
-    rare = rare.groupBy("key").agg(
-        F.sum(F.when(found > 0, F.col("times")).otherwise(0)).alias("_known"),
-        F.sum(F.col("times") * F.log10((found + 1) / v)).alias("_base"),
-        F.sum(F.col("times") * root).alias("_score"),
+    rare = rare.select(
+        "key",
+        F.when(found > 0, F.col("times")).otherwise(0).alias("_known"),
+        (F.col("times") * F.log10((found + 1) / v)).alias("_base"),
+        (F.col("times") * root).alias("_score"),
     )
-    full = both.where("word is null").select("key", "doc_id", "train", "n_tokens", "n_known", "base_score", "score").join(rare, "key", "left")
+    if more is not None:
+        entry = both.where("entry is not null").select("key", F.col("entry").alias("_entry"), "times").join(rest.select(F.col("key").alias("_entry"), "value"), "_entry")
+        rare = rare.unionByName(entry.select("key", F.lit(0).cast("long").alias("_known"), F.lit(0.0).alias("_base"), (F.col("times") * F.col("value")).alias("_score")))
+    rare = rare.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("_known", "_base", "_score")))
+    full = both.where("word is null and entry is null").select("key", "doc_id", "train", "n_tokens", "n_known", "base_score", "score").join(rare, "key", "left")
     plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
     return full.select(
         "doc_id",
@@ -323,4 +455,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~F.coalesce(held_out, F.lit(False))).alias("train"))
     with arrow_rows(spark, ARROW_ROWS):
-        return score(docs, *fit(docs))
+        return score(docs, fit(docs))

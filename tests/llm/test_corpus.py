@@ -271,47 +271,98 @@ def test_windows_around_one_gram_stay_apart():
 # --- language model
 
 
-def test_suffix_tree_base_scores(spark):
+def brute_tree(train, gain, least=2):
+    """States as {context: (rest factor, {word: probability})}, and the root, by the definitions; None is the end."""
+    c = Counter(w for ws in train for w in ws)
+    n, v = sum(c.values()), len(c)
+    once, twice = sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
+    discount = min(0.9, max(0.1, once / (once + 2 * twice))) if once else 0.5
+    root = lambda w: (c[w] - discount) / n if c[w] else discount * v / n
+    states = {}
+
+    def p(context, w):
+        while context and context not in states:
+            context = context[1:]
+        if not context:
+            return root(w)
+        rest, listed = states[context]
+        return listed[w] if w in listed else rest * p(context[1:], w)
+
+    depth = 1
+    while True:
+        follow = defaultdict(Counter)
+        for ws in train:
+            for i in range(depth, len(ws)):
+                follow[tuple(ws[i - depth : i])][ws[i]] += 1
+        new = {}
+        for context, seen in follow.items():
+            if depth > 1 and context[1:] not in states:
+                continue
+            total, listed = sum(seen.values()), {w: k for w, k in seen.items() if k >= least}
+            if not listed:
+                continue
+            q = {w: p(context[1:], w) for w in listed}
+            kl = sum(k / total * math.log(k / total / q[w]) for w, k in listed.items())
+            rest, rq = max(0.0, 1 - sum(k / total for k in listed.values())), max(1e-9, 1 - sum(q.values()))
+            if rest > 0:
+                kl += rest * math.log(max(rest, 1e-12) / rq)
+            if total * kl >= gain:
+                probability = {w: (k - 0.6) / total for w, k in listed.items()}
+                new[context] = (max(1e-9, 1 - sum(probability.values())) / rq, probability)
+        if not new:
+            return states, p, c, root, discount * v / n
+        states.update(new)
+        depth += 1
+
+
+@pytest.mark.parametrize("head, entries, bits", [(1 << 19, 1 << 19, 1 << 20), (64, 32, 1 << 20), (64, 32, 1 << 12)])
+def test_suffix_tree_scores_against_brute_force(spark, monkeypatch, head, entries, bits):
+    monkeypatch.setattr(suffixtree, "BITS", bits)
+    monkeypatch.setattr(suffixtree, "RUN_EVENTS", 2000)
     texts = corpus(6)
-    docs = table(spark, texts).select("doc_id", "text", (F.col("doc_id") % 7 != 2).alias("train"))
-    tree, tail = suffixtree.fit(docs, share=0.002, gain=2.0, head_words=64)
-    out = {r["doc_id"]: r for r in suffixtree.score(docs, tree, tail).collect()}
+    docs = table(spark, texts).select("doc_id", "text", (F.col("doc_id") % 7 != 2).alias("train")).withColumn("key", F.lit(1))
+    tree = suffixtree.fit(docs, gain=4.0, head_words=head)
+    out = {r["doc_id"]: r for r in suffixtree.score(docs, tree, entries).collect()}
     token = {i: [*words(t, True), None] for i, t in enumerate(texts)}
-    c = Counter(w for i, ws in token.items() if i % 7 != 2 for w in ws)
+    states, p, c, _, _ = brute_tree([ws for i, ws in token.items() if i % 7 != 2], 4.0)
     n, v = sum(c.values()), len(c)
-    assert len(out) == len(texts) and (tree.n, tree.v) == (n, v)
+    assert len(out) == len(texts) and (tree.n, tree.v) == (n, v) and tree.depth == max(map(len, states)) > 2
+    assert tree.entries().count() == sum(1 + len(listed) for _, listed in states.values())
     for i, ws in token.items():
         r = out[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(ws), sum(c[w] > 0 for w in ws), n, i % 7 == 2)
-        assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9) and r["score"] <= 0
+        assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
+        assert math.isclose(r["score"], sum(math.log10(p(tuple(ws[max(0, k - tree.depth) : k]), w)) for k, w in enumerate(ws)), rel_tol=1e-6)
     assert sum(r["score"] for r in out.values()) > sum(r["base_score"] for r in out.values())
 
 
-def test_suffix_tree_states_sum_to_one(spark):
+def test_suffix_tree_states_sum_to_one():
+    train = [[*words(t, True), None] for t in corpus(8)]
+    states, p, c, _, unseen = brute_tree(train, 3.0)
+    assert len(states) > 20
+    for context in list(states)[:60]:
+        assert math.isclose(sum(p(context, w) for w in c) + p(context, "never seen"), 1.0, rel_tol=1e-6)
+
+
+def test_suffix_tree_grows_with_the_corpus(spark):
     rng = np.random.default_rng(1)
-    texts = [" ".join(("a b c" if rng.random() < 0.7 else "a c b") if rng.random() < 0.8 else f"x{rng.integers(0, 9)}" for _ in range(30)) for _ in range(80)]
-    docs = table(spark, texts).select("doc_id", "text", F.lit(True).alias("train"))
-    tree, tail = suffixtree.fit(docs, share=0.001, gain=2.0)
-    assert len(tree.pairs) and len(tree.two) and tail.count() == 0
-    ids = np.arange(len(tree.head))
-    for context in [(), (3,), (1, 3), (0, 1), (2, 0), *[(int(k) >> 20, int(k) & 0xFFFFF) for k in tree.two]]:
-        total = 10**tree.unseen if not context else 0.0
-        p = []
-        for w in ids:
-            h = tree.head[np.array([*context, w])]
-            p.append(tree.score(h, np.zeros(len(h), int))[1][-1])
-        rest = tree.unseen
-        if context:
-            h = np.array([*tree.head[list(context)], np.uint64(12345)])
-            rest += tree.score(h, np.zeros(len(h), int))[1][-1]
-            total = 10**rest
-        assert math.isclose(total + sum(10 ** np.array(p)), 1.0, rel_tol=1e-6)
-
-
-def test_suffix_tree_without_training_rows(spark):
+    sizes = []
+    for n in (100, 400):
+        texts = [" ".join(f"v{x}" for x in rng.integers(0, 10 * n, 30)) for _ in range(n)]
+        docs = table(spark, texts + texts).select("doc_id", "text", F.lit(True).alias("train"))
+        sizes.append(suffixtree.fit(docs).entries().count())
+    assert sizes[1] > 3.5 * sizes[0] > 100
+
+
+def test_suffix_tree_edges(spark):
     docs = table(spark, ["a b", None]).select("doc_id", "text", F.lit(False).alias("train"))
-    out = suffixtree.score(docs, *suffixtree.fit(docs)).collect()
+    out = suffixtree.score(docs, suffixtree.fit(docs)).collect()
     assert {(r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in out} == {(3, 0, 0.0, 0.0), (1, 0, 0.0, 0.0)}
+    docs = table(spark, ["a b a b a b"] * 3 + [None], [1, 1, None, None]).select("doc_id", "text", F.lit(True).alias("train"))
+    out = suffixtree.score(docs, suffixtree.fit(docs)).collect()
+    assert len(out) == 4 and len({r["score"] for r in out}) == 2
+    docs = docs.where("false")
+    assert suffixtree.score(docs, suffixtree.fit(docs)).count() == 0
 
 
 # --- secrets
