@@ -8,7 +8,8 @@ windows). Within a batch, windows that repeat are settled at once and only the l
 so a passage of any frequency costs one entry a batch. Runs of a bucket, and of the history if there is
 one, are merge-joined: equal fingerprints and equal checks make equal windows, and a window whose
 least document is smaller than its own is removed. Windows around one frequent gram share the first part, so only the check's
-64 bits count against false matches: words are not compared. ``compact`` folds all runs of a bucket into one.
+64 bits count against false matches: words are not compared. ``compact`` folds all runs of a bucket into one. A run says how many buckets it was
+dealt to, and is dealt anew where a batch or a compaction has another number.
 
 Order: a window is removed iff its word sequence also starts in a document of smaller id; windows are judged on the
 input. Edge cases: null texts have no words; texts below 13 words keep all; a null id counts as larger
@@ -34,7 +35,7 @@ from .text import chunks, gram_hashes, release, text_bytes, word_hashes, words
 WINDOW, GRAM = 13, 5
 RUN_WORDS, BUCKETS_PER_16MB, ARROW_ROWS = 700_000, 6, 1500
 LAST = np.iinfo(np.int64).max
-_RUN = "bucket int, fp binary, doc binary, pos binary, mask binary, checks binary"
+_RUN = "bucket int, dealt int, fp binary, doc binary, pos binary, mask binary, checks binary"
 _EMPTY = {"fp": np.uint64, "doc": np.int64, "pos": np.uint32, "mask": np.uint16}
 
 
@@ -70,8 +71,8 @@ def least_docs(fp: np.ndarray, check: np.ndarray, doc: np.ndarray) -> tuple[np.n
     return order, np.repeat(low, np.diff(np.append(starts, len(order))))
 
 
-def _pack(bucket: int, fp, doc, pos, mask, check) -> tuple:
-    return bucket, deltas(fp), planes(doc), planes(pos), planes(mask), planes(check)
+def _pack(bucket: int, buckets: int, fp, doc, pos, mask, check) -> tuple:
+    return bucket, buckets, deltas(fp), planes(doc), planes(pos), planes(mask), planes(check)
 
 
 def make_run(fp: np.ndarray, check: np.ndarray, doc: np.ndarray, pos: np.ndarray, buckets: int) -> list[tuple]:
@@ -97,7 +98,7 @@ def make_run(fp: np.ndarray, check: np.ndarray, doc: np.ndarray, pos: np.ndarray
     b = bucket_of(f, buckets)
     cut = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1, [len(b)]])
     first = np.concatenate([[0], np.cumsum(size[order])])
-    return [_pack(int(b[i]), f[i:j], d[i:j], p[i:j], m[i:j], c[first[i] : first[j]]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    return [_pack(int(b[i]), buckets, f[i:j], d[i:j], p[i:j], m[i:j], c[first[i] : first[j]]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
 def expand(fp: bytes, doc: bytes, pos: bytes, mask: bytes, checks: bytes) -> tuple:
@@ -138,8 +139,8 @@ def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-_RUN_NAMES = ["bucket", "fp", "doc", "pos", "mask", "checks"]
-_RUN_TYPES = [pa.int32(), *[pa.binary()] * 5]
+_RUN_NAMES = ["bucket", "dealt", "fp", "doc", "pos", "mask", "checks"]
+_RUN_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
 
 
 def runs(docs: DataFrame, buckets: int) -> DataFrame:
@@ -157,7 +158,7 @@ def runs(docs: DataFrame, buckets: int) -> DataFrame:
             least[order] = low
             gone = doc > least
             # one copy of a window within a document is enough for the index, but each of them must be told of removal
-            done = [(home, None, d, p, None, None) for home, d, p in _removals(doc[gone], pos[gone], buckets)]
+            done = [(home, buckets, None, d, p, None, None) for home, d, p in _removals(doc[gone], pos[gone], buckets)]
             stay = ~gone
             out = make_run(fp[stay], check[stay], doc[stay], pos[stay], buckets) + done
             for i in range(0, len(out), 64):
@@ -182,6 +183,21 @@ def runs(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, _RUN)
 
 
+def redealt(history: DataFrame, buckets: int) -> DataFrame:
+    """The runs of a history in so many buckets; those that were dealt otherwise are cut anew, run by run."""
+
+    def deal(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                fp, check, doc, pos = expand(*(batch.column(c)[r].as_py() for c in _RUN_NAMES[2:]))
+                order = np.lexsort((pos, doc))
+                yield _batch(make_run(fp[order], check[order], doc[order], pos[order], buckets), _RUN_NAMES, _RUN_TYPES)
+
+    runs = history.where("fp is not null")
+    same = F.col("dealt") == F.lit(buckets)
+    return runs.where(same).select(*_RUN_NAMES).unionByName(runs.where(~same).select(*_RUN_NAMES).mapInArrow(deal, _RUN))
+
+
 def _load(t: pa.Table) -> tuple[tuple, list]:
     passed, sums = [], np.cumsum([0] + [x.size // 8 for x in (np.frombuffer(c.as_buffer() or b"", np.uint8) for c in t.column("checks"))])
     n = int(sums[-1])
@@ -201,7 +217,7 @@ def merge(found: DataFrame, buckets: int, history: DataFrame | None = None) -> D
     schema = "home int, doc binary, pos binary"
     both = found.withColumn("fresh", F.lit(True))
     if history is not None:
-        both = both.unionByName(history.where("fp is not null").withColumn("fresh", F.lit(False)))
+        both = both.unionByName(redealt(history, buckets).withColumn("fresh", F.lit(False)))
 
     def join(t: pa.Table) -> pa.Table:
         fresh = pc.equal(t.column("fresh"), True)
@@ -225,7 +241,7 @@ def merge(found: DataFrame, buckets: int, history: DataFrame | None = None) -> D
 
 def compact(found: DataFrame, history: DataFrame | None = None, buckets: int = 16) -> DataFrame:
     """All runs of a bucket as one sorted run that keeps the least document of every window."""
-    both = found if history is None else found.unionByName(history)
+    both = redealt(found if history is None else found.unionByName(history), buckets)
 
     def fold(t: pa.Table) -> pa.Table:
         (fp, check, doc, pos), _ = _load(t)
@@ -235,7 +251,7 @@ def compact(found: DataFrame, history: DataFrame | None = None, buckets: int = 1
         rows = make_run(fp[keep], check[keep], doc[keep], pos[keep], buckets)
         return pa.Table.from_batches([_batch(rows, _RUN_NAMES, _RUN_TYPES)])
 
-    return both.where("fp is not null").groupBy("bucket").applyInArrow(fold, _RUN)
+    return both.groupBy("bucket").applyInArrow(fold, _RUN)
 
 
 def apply(docs: DataFrame, removed: DataFrame, buckets: int, keep_text: bool = False) -> DataFrame:
