@@ -1,7 +1,7 @@
 """Near-duplicate vectors by an inverted multi-index: product grid, multi-sequence traversal, exact check.
 
 Equal vectors of a label form a class; the index holds classes. Unit vectors are halved, each half has a
-codebook of its own (k-means on at most ``FIT_ROWS`` vectors, taken in the order of a hash), and every class lies in
+codebook of its own (k-means on ``FIT_ROWS`` vectors, up to ``MAX_FIT`` where the codes grow with the data, taken in the order of a hash), and every class lies in
 one cell of the grid (label, code of the first half, code of the second). Each class probes the grid by
 multi-sequence traversal: cells in rising order of the sum of the halves' lower bounds on the squared
 distance to the cell, until that sum exceeds ``reach`` times the squared distance of the threshold. With reach 1 the bound
@@ -12,7 +12,7 @@ Cells and their probes are cut into blocks, so a cell of any size is many tasks'
 sums of links and a spanning forest, never all pairs. Edge cases: null, empty and zero vectors, vectors with
 null or non-finite components and those with a null label or id have no link, form their own component
 and are kept (a null id gives a null component); vectors of different lengths never link; repeated rows
-are each reported and count as each other's links; ties need no rule; an empty table gives no rows.
+are each reported and count as each other's links; ties need no rule; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, materialise, table
+from .common import components, materialise, small, table
 
-COSINE, FIT_ROWS, FIT_QUERIES, FIT_PAIRS, CELL_ROWS, BLOCK_ROWS, TARGET_RECALL = 0.98, 8192, 512, 5000, 24, 256, 0.998
+COSINE, FIT_ROWS, MAX_FIT, FIT_QUERIES, FIT_PAIRS, CELL_ROWS, BLOCK_ROWS, TARGET_RECALL = 0.98, 8192, 65_536, 512, 5000, 24, 256, 0.998
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -168,13 +168,27 @@ def _cells(classes: DataFrame, grid: Grid, probing: bool) -> DataFrame:
     return cells.withColumn("size", F.length("unit"))
 
 
-def _blocks(cells: DataFrame, name: str) -> DataFrame:
-    """Members of a cell in blocks of about BLOCK_ROWS; no block grows with its cell."""
+def _met(held: DataFrame, probe: DataFrame) -> DataFrame:
+    """(held, probe): every pair of a block of a cell's members and a block of its probes, about BLOCK_ROWS rows each.
+
+    A cell with more has several blocks of either side, and each pair of them has a key of its own: neither the
+    grouping nor the join brings a cell to one task.
+    """
     key = ["label", "c1", "c2", "size"]
-    cells = materialise(cells)
-    counts = cells.groupBy(*key).agg(F.count(F.lit(1)).alias("members"))
-    salted = cells.join(counts, key).withColumn("salt", F.expr(f"pmod(xxhash64(cid, 7), 1 + members div {BLOCK_ROWS})"))
-    return salted.groupBy(*key, "salt").agg(F.collect_list(F.struct("cid", "weight", "unit")).alias(name)).drop("salt")
+    held, probe = materialise(held), materialise(probe)
+    count = lambda df, name: df.groupBy(*key).agg((1 + F.expr(f"count(1) div {BLOCK_ROWS}")).alias(name))
+    parts = count(held, "held_parts").join(count(probe, "probe_parts"), key)
+    large = materialise(parts.where("held_parts > 1 or probe_parts > 1"))  # at most one row for BLOCK_ROWS of the tables
+    side = F.broadcast(large) if small(large) else large
+
+    def blocks(df: DataFrame, name: str, other: str) -> DataFrame:
+        cut = df.join(side, key, "left").withColumns({f"{x}_parts": F.coalesce(f"{x}_parts", F.lit(1)).cast("long") for x in ("held", "probe")})
+        cut = cut.withColumn(f"{name}_block", F.expr(f"pmod(xxhash64(cid, 7), {name}_parts)"))
+        packed = cut.groupBy(*key, f"{name}_block", f"{other}_parts").agg(F.collect_list(F.struct("cid", "weight", "unit")).alias(name))
+        return packed.withColumn(f"{other}_block", F.explode(F.expr(f"sequence(0L, {other}_parts - 1)"))).drop(f"{other}_parts")
+
+    met = blocks(held, "held", "probe").join(blocks(probe, "probe", "held"), [*key, "held_block", "probe_block"])
+    return met.select("probe", "held")
 
 
 def _compare(met: DataFrame, cosine: float) -> DataFrame:
@@ -222,13 +236,12 @@ def dedup(vectors: DataFrame, cosine: float = COSINE, target_recall: float = TAR
     valid = units.where("unit is not null")
     classes = materialise(valid.groupBy("label", "digest").agg(F.min("vec_id").alias("cid"), F.count(F.lit(1)).alias("weight"), F.first("unit").alias("unit")))
     total = classes.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
-    codes = int(np.clip(np.ceil(np.sqrt(total[0] / max(1, total[1]) / CELL_ROWS)), 2, 256))
-    sample = [np.frombuffer(bytes(r["unit"]), "<f8") for r in classes.orderBy(F.xxhash64("cid"), "cid").limit(FIT_ROWS).select("unit").collect()]
+    # the grid grows with the classes of a label, as far as MAX_FIT vectors can fit its codebooks; beyond that cells grow, in more blocks
+    codes = int(np.clip(np.ceil(np.sqrt(total[0] / max(1, total[1]) / CELL_ROWS)), 2, MAX_FIT // 8))
+    sample = [np.frombuffer(bytes(r["unit"]), "<f8") for r in classes.orderBy(F.xxhash64("cid"), "cid").limit(max(FIT_ROWS, 8 * codes)).select("unit").collect()]
     grid = Grid(sample, codes, cosine)
     grid.limit *= fit_reach(grid, linked_sample(classes, cosine) if target_recall < 1 else [], target_recall, cosine)
-    held = _blocks(_cells(classes, grid, False), "held")
-    probe = _blocks(_cells(classes, grid, True), "probe")
-    met = materialise(_compare(held.join(probe, ["label", "c1", "c2", "size"]).select("probe", "held"), cosine))
+    met = materialise(_compare(_met(_cells(classes, grid, False), _cells(classes, grid, True)), cosine))
     links = met.groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n_links"))
     # an id with different vectors is one node: its classes' links add up in its components
     part = components(met.where("a <> b").select("a", "b")).withColumnRenamed("node", "cid")

@@ -253,6 +253,12 @@ def test_substring_history_is_incremental(spark):
     merged = substring.compact(substring.runs(two.select("doc_id", "text"), 4), history, 4)
     again = {r["doc_id"]: r["kept_sha256"] for r in substring.dedup(two, history=merged, buckets=4).collect()}
     assert again == later
+    # another number of buckets than the history's, for batch, compaction and history of histories
+    for buckets in (3, 7):
+        found = {r["doc_id"]: r["kept_sha256"] for r in substring.dedup(two, history=history, buckets=buckets).collect()}
+        assert found == later
+    other = substring.compact(substring.runs(two.select("doc_id", "text"), 6), history, 5)
+    assert {r["doc_id"]: r["kept_sha256"] for r in substring.dedup(two, history=other, buckets=2).collect()} == later
     assert substring.dedup(table(spark, []), buckets=3).count() == 0
 
 
