@@ -125,6 +125,11 @@ def is_alpha_texture(path) -> Column:
     return F.lower(base_name(path)) == "alpha.png"
 
 
+def digest(content) -> Column:
+    """SHA-256 of a content or text, in lower-case hexadecimal."""
+    return F.sha2(c(content), 256)
+
+
 def version_token(version_name, version_code) -> Column:
     """The digits of the name, else the code."""
     return F.coalesce(F.nullif(F.regexp_replace(c(version_name), r"\D", ""), F.lit("")), c(version_code).cast("string"))

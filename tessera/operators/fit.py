@@ -92,3 +92,9 @@ def predict(df: DataFrame, model: dict) -> DataFrame:
 def with_iou(df: DataFrame, box: str = "box") -> DataFrame:
     b = F.col(box)
     return df.withColumn("iou", iou([b[0], b[1], b[2], b[3]], ["px1", "py1", "px2", "py2"]))
+
+
+def ols_single(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """slope, intercept and r2 of y on x per group, by built-in aggregates."""
+    fitted = lambda f, name: f(F.col(y), F.col(x)).alias(name)
+    return df.groupBy(*by).agg(fitted(F.regr_slope, "slope"), fitted(F.regr_intercept, "intercept"), fitted(F.regr_r2, "r2"))

@@ -44,3 +44,29 @@ def owners(listing: DataFrame, requests: DataFrame, key: str = "rel") -> DataFra
     """Requested items by the source that owns them."""
     found = requests.join(listing.select(key, "source"), key)
     return found.groupBy("source").agg(F.array_sort(F.collect_set(key)).alias("items"))
+
+
+def unmatched_pool(names: DataFrame, scored: DataFrame, keys: list[str], score: str, least: float) -> DataFrame:
+    """Names without any scored row, and those whose best score stays below least."""
+    weak = scored.groupBy(*keys).agg(F.max(score).alias("_best")).where(F.col("_best") < least)
+    return names.join(scored.select(*keys).distinct(), keys, "left_anti").unionByName(names.join(weak, keys, "left_semi"))
+
+
+def with_fallback(sprites: DataFrame, merged: DataFrame, keys: list[str], image: str) -> DataFrame:
+    """sprites with the merged image where there is one, else their own."""
+    side = merged.select(*keys, F.col(image).alias("_merged"))
+    return sprites.join(side, keys, "left").withColumn(image, F.coalesce("_merged", image)).drop("_merged")
+
+
+def retry_failed(requested: DataFrame, delivered: DataFrame, keys: list[str]) -> DataFrame:
+    """What a batch did not deliver: to be asked for one by one."""
+    return requested.join(delivered.select(*keys).distinct(), keys, "left_anti")
+
+
+def chosen_categories(listed: DataFrame, wanted: list[str], category: str = "category") -> DataFrame:
+    """Rows of the wanted categories with ord, their place in the request; an unknown category is an error."""
+    known = {r[0] for r in listed.select(category).distinct().collect()}  # a handful of names
+    if unknown := [x for x in wanted if x not in known]:
+        raise ValueError(f"unknown categories: {', '.join(unknown)}")
+    order = F.create_map(*[F.lit(v) for i, x in enumerate(dict.fromkeys(wanted)) for v in (x, i)]) if wanted else F.create_map()
+    return listed.where(F.col(category).isin(wanted)).withColumn("ord", order[F.col(category)])

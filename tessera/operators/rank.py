@@ -90,3 +90,26 @@ def in_order(df: DataFrame, order: list, n: int | None = None, only: list | None
     if only is not None and key:
         df = df.where(c(key).isin(only))
     return df.orderBy(*order).limit(n) if n is not None else df
+
+
+def subset(report: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """The report's rows for the chosen keys."""
+    return report.join(chosen.select(*keys).distinct(), keys, "left_semi")
+
+
+def without_fields(df: DataFrame, entry: str, fields: list[str]) -> DataFrame:
+    """A report's entries without the named fields, those that they have."""
+    there = set(df.schema[entry].dataType.fieldNames())
+    return df.withColumn(entry, F.col(entry).dropFields(*[x for x in fields if x in there])) if there & set(fields) else df
+
+
+def flattened(bases: DataFrame, keys: list[str], diffs: str, name: str, suffixes: tuple[str, ...] = (".png", ".webp")) -> DataFrame:
+    """Distinct pictures among all bases' diffs, alpha textures left out."""
+    from ..functions.names import is_alpha_texture
+
+    out = bases.select(*keys, F.explode(diffs).alias(name)).where(~is_alpha_texture(name))
+    low = F.lower(name)
+    fits = F.lit(False)
+    for s in suffixes:
+        fits = fits | low.endswith(s)
+    return out.where(fits).distinct()

@@ -72,3 +72,10 @@ def prefix_of_group(df: DataFrame, by: list[str], name: str) -> DataFrame:
 def indexed(df: DataFrame, key: str, value: str) -> DataFrame:
     """Sorted distinct values per key."""
     return df.groupBy(key).agg(F.array_sort(F.collect_set(value)).alias("items"))
+
+
+def owner_counts(items: DataFrame, owner: str, ok: Column, size: str) -> DataFrame:
+    """One row: owners with an item that is ok, such items, and the sum of their sizes; combined per owner first."""
+    by = items.where(ok).groupBy(owner).agg(F.count(F.lit(1)).alias("items"), F.sum(size).alias("size"))
+    zero = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    return by.agg(F.count(F.lit(1)).alias("owners"), zero("items").alias("items"), zero("size").alias("size"))

@@ -29,10 +29,13 @@ def query(sql: str | None):
 
 
 def queries() -> dict[str, Query]:
+    from . import assets  # noqa: F401  registers its queries
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -95,9 +98,8 @@ select count(distinct case when o_orderstatus = 'F' then o_custkey end)::bigint
 """)
 def q05_two_level_counts(spark, sf):
     lines = t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
-    per = t(spark, sf, "orders").where("o_orderstatus = 'F'").join(lines, "o_orderkey", "left")
-    by = per.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("n").alias("lines"))
-    return by.agg(F.count(F.lit(1)).alias("with_ok"), F.coalesce(F.sum("orders"), F.lit(0)).alias("ok_orders"), F.coalesce(F.sum("lines"), F.lit(0)).alias("ok_lines"))
+    per = t(spark, sf, "orders").join(lines, "o_orderkey", "left")
+    return stats.owner_counts(per, "o_custkey", F.col("o_orderstatus") == "F", "n").toDF("with_ok", "ok_orders", "ok_lines")
 
 
 @query(r"""
@@ -190,8 +192,7 @@ def q14_half_even(spark, sf):
 
 @query("select l_returnflag, regr_slope(l_extendedprice, l_quantity) slope, regr_intercept(l_extendedprice, l_quantity) intercept, regr_r2(l_extendedprice, l_quantity) r2 from lineitem group by 1")
 def q15_ols_single(spark, sf):
-    r = lambda f: f(F.col("l_extendedprice"), F.col("l_quantity"))
-    return t(spark, sf, "lineitem").groupBy("l_returnflag").agg(r(F.regr_slope).alias("slope"), r(F.regr_intercept).alias("intercept"), r(F.regr_r2).alias("r2"))
+    return fit.ols_single(t(spark, sf, "lineitem"), ["l_returnflag"], "l_quantity", "l_extendedprice")
 
 
 _G = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice"]
@@ -240,12 +241,10 @@ def q19_greedy_dedup(spark, sf):
 
 @query("""
 select a.label, a.vec_id lo, b.vec_id hi, list_inner_product(a.embedding::double[], b.embedding::double[]) sim
-from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id and a.vec_id % 10 = b.vec_id % 10
+from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id
 """)
 def q20_pair_similarity(spark, sf):
-    e = t(spark, sf, "embeddings").withColumn("part", F.col("vec_id") % 10)
-    pairs = dedup.ordered_pairs(e, ["label", "part"], "vec_id", ["embedding"])
-    return pairs.select("label", F.col("lo.rank").alias("lo"), F.col("hi.rank").alias("hi"), dedup.dot("lo.embedding", "hi.embedding").alias("sim"))
+    return dedup.pair_products(t(spark, sf, "embeddings"), ["label"], "vec_id", "embedding")
 
 
 @query("select doc_id, lang from documents where doc_id not in (select doc_id from labels)")
@@ -353,8 +352,7 @@ union all select c_custkey from customer where c_custkey in (select o_custkey fr
 """)
 def q30_unmatched_pool(spark, sf):
     c, o = t(spark, sf, "customer").select("c_custkey"), t(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    weak = o.groupBy("c_custkey").agg(F.max("o_totalprice").alias("m")).where("m < 250000")
-    return c.join(o, "c_custkey", "left_anti").unionByName(c.join(weak, "c_custkey", "left_semi"))
+    return merge.unmatched_pool(c, o, ["c_custkey"], "o_totalprice", 250000)
 
 
 @query("""
@@ -435,12 +433,14 @@ def q38_nested_report(spark, sf):
 
 @query("select event_id, json_extract_string(props, '$.k')::bigint k from events")
 def q39_json_explode(spark, sf):
-    return t(spark, sf, "events").select("event_id", F.explode_outer(F.from_json("props", "map<string,bigint>")).alias("name", "k")).where("name is null or name = 'k'").select("event_id", "k")
+    from ..sources.tables import json_field
+
+    return t(spark, sf, "events").select("event_id", json_field("props", "k", "bigint").alias("k"))
 
 
 @query("select doc_id, sha256(text) sha256, length(text)::int size from documents")
 def q40_content_hash(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.length("text").alias("size"))
+    return t(spark, sf, "documents").select("doc_id", names.digest("text").alias("sha256"), F.length("text").alias("size"))
 
 
 @query("""
@@ -530,11 +530,3 @@ def q50_cache_lookup(spark, sf):
     items = o.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("f"))
     cache = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")).alias("f"), F.col("o_totalprice").alias("v"))
     return incremental.cached(items, cache, ["k"], ["f"], ["v"])
-
-
-@query("""
-select a.label, a.vec_id lo, b.vec_id hi, list_inner_product(a.embedding::double[], b.embedding::double[]) sim
-from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id
-""")
-def q51_pair_similarity_all(spark, sf):
-    return dedup.pair_products(t(spark, sf, "embeddings"), ["label"], "vec_id", "embedding")

@@ -36,7 +36,7 @@ class DirectorySource(AssetSource):
         self.root, self.name = root, name
 
     def files(self, spark: SparkSession, category: str) -> DataFrame:
-        return tables.list_files(spark, self.root, category, digest=True)
+        return tables.list_files(spark, self.root, category, with_digest=True)
 
 
 class ListingSource(AssetSource):

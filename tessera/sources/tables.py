@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import LS_LINE, UNZIP_LINE, base_name, excluded
+from ..functions.names import LS_LINE, UNZIP_LINE, base_name, digest, excluded
 
 # Where a category's files lie.
 CATEGORY_PATHS = {"characters": "avg/characters", "avatars": "spritepack"}
@@ -33,25 +33,25 @@ def relative(path, root: str):
     return F.substring_index(path, root.rstrip("/").split("://")[-1].removeprefix("file:") + "/", -1)
 
 
-def list_files(spark: SparkSession, root: str, category: str, digest: bool = False) -> DataFrame:
-    """rel, size (and sha256) of a category's bundles. Without digest no content is read."""
+def list_files(spark: SparkSession, root: str, category: str, with_digest: bool = False) -> DataFrame:
+    """rel, size (and sha256) of a category's bundles. Without with_digest no content is read."""
     path = f"{root.rstrip('/')}/{CATEGORY_PATHS[category]}"
     df = _binary(spark, path, "*.ab")
     cols = [F.concat(F.lit(f"{category}/"), base_name("path")).alias("rel"), F.col("length").alias("size")]
-    return df.select(*cols, *([F.sha2("content", 256).alias("sha256")] if digest else []))
+    return df.select(*cols, *([digest("content").alias("sha256")] if with_digest else []))
 
 
 def ls_listing(lines: DataFrame, category: str, suffix: str = ".ab") -> DataFrame:
     """rel, size from lines of ls -l (value string); other lines yield nothing."""
     name = base_name(F.regexp_extract("value", LS_LINE, 2))
-    df = lines.where(F.col("value").rlike(LS_LINE)).select(F.regexp_extract("value", LS_LINE, 1).cast("long").alias("size"), name.alias("name"))
+    df = lines.where(F.col("value").rlike(LS_LINE)).select(F.regexp_extract("value", LS_LINE, 1).try_cast("long").alias("size"), name.alias("name"))
     return df.where(F.lower("name").endswith(suffix)).select(F.concat(F.lit(f"{category}/"), F.col("name")).alias("rel"), "size")
 
 
 def unzip_listing(lines: DataFrame) -> DataFrame:
     """size, name from lines of unzip -l; header, rule and total lines yield nothing."""
     df = lines.where(F.col("value").rlike(UNZIP_LINE))
-    return df.select(F.regexp_extract("value", UNZIP_LINE, 1).cast("long").alias("size"), F.regexp_extract("value", UNZIP_LINE, 2).alias("name"))
+    return df.select(F.regexp_extract("value", UNZIP_LINE, 1).try_cast("long").alias("size"), F.regexp_extract("value", UNZIP_LINE, 2).alias("name"))
 
 
 def archives_listing(archives: list[tuple[str, DataFrame]]) -> DataFrame:
@@ -74,12 +74,12 @@ def scan_category(spark: SparkSession, root: str, exclude: list[str] = (), previ
     if exclude:
         df = df.where(~excluded("rel", list(exclude)))
     if previous is None or strict:
-        return df.select("rel", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+        return df.select("rel", F.col("length").alias("size"), digest("content").alias("sha256"))
     old = previous.select("rel", F.col("size").alias("_size"), F.col("sha256").alias("_sha"))
     met = df.select("rel", F.col("length").alias("size"), "path").join(old, "rel", "left")
     kept = met.where("_size = size and _sha is not null").select("rel", "size", F.col("_sha").alias("sha256"))
     fresh = met.where("not coalesce(_size = size and _sha is not null, false)").select("rel")
-    read = df.join(fresh, "rel", "left_semi").select("rel", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    read = df.join(fresh, "rel", "left_semi").select("rel", F.col("length").alias("size"), digest("content").alias("sha256"))
     return kept.unionByName(read)
 
 
@@ -93,6 +93,11 @@ def json_texts(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "path string, text string")
 
 
+def json_field(text, name: str, kind: str):
+    """A field of a small document in a column; null where the document is broken or lacks it."""
+    return F.from_json(text, f"`{name}` {kind}")[name]
+
+
 def map_report(texts: DataFrame, root: str, value: str) -> DataFrame:
     """ord, key, value of the object under root (a field name; empty: the document itself), in document order. Broken documents give no rows."""
     field = F.get_json_object("text", f"$.{root}") if root else F.col("text")

@@ -32,7 +32,7 @@ def test_directory_and_category_scans(spark, tmp_path):
     d.mkdir(parents=True)
     (d / "b.ab").write_bytes(b"xx")
     (d / "a.txt").write_bytes(b"x")
-    got = tables.list_files(spark, str(tmp_path), "characters", digest=True).collect()
+    got = tables.list_files(spark, str(tmp_path), "characters", with_digest=True).collect()
     assert [(r["rel"], r["size"]) for r in got] == [("characters/b.ab", 2)] and len(got[0]["sha256"]) == 64
     assert tables.list_files(spark, str(tmp_path), "avatars").count() == 0
     r = tmp_path / "recognition"
