@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Fit (labels of training rows only): a bounded, hash-ordered sample of at most ``max_examples`` labelled
-documents, copies with one label once (their 3-word shingle sets are equal); the terms whose presence differs between the classes by a chi-square of at least
-``min_chi2`` (at most ``max_terms``); inverse document frequencies of those terms over all documents of
+documents, copies with one label once (their 3-word shingle sets are equal); all of their terms whose presence differs between the classes by a chi-square of at least
+``min_chi2`` (a test, not a number of terms); inverse document frequencies of those terms over all documents of
 the corpus; an isotonic map from leave-one-out votes to probabilities.
 
 Score: the query's ``k`` nearest examples by exact cosine. Postings lie in blocks of examples aligned over
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import arrow_rows, discard, materialise, table
 from .text import chunks, shingle_sets, text_bytes
 
-MAX_EXAMPLES, MAX_TERMS, MIN_CHI2, MIN_DF, K, BLOCK, ARROW_ROWS = 12_000, 4096, 24.0, 5, 25, 64, 2000
+MAX_EXAMPLES, MIN_CHI2, MIN_DF, K, BLOCK, FIRST_BLOCKS, ARROW_ROWS = 12_000, 24.0, 5, 25, 64, 16, 2000
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -46,7 +46,7 @@ def terms(text: str | None) -> dict[str, int]:
 
 
 class Model:
-    """A fitted classifier: small arrays, bounded by max_examples and max_terms."""
+    """A fitted classifier: small arrays, bounded by max_examples and their texts."""
 
     def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, bags: list[dict[int, int]], ids, labels, k: int = K):
         self.vocabulary, self.idf, self.k = vocabulary, idf, k
@@ -58,22 +58,20 @@ class Model:
         order = sorted(range(len(bags)), key=lambda i: (not heaviest[i], heaviest[i], self.ids[i]))
         vectors, self.ids, self.labels = [vectors[i] for i in order], self.ids[order], self.labels[order]
         n = len(bags)
+        self.vectors = vectors
         self.blocks = (n + BLOCK - 1) // BLOCK
         term = np.concatenate([t for t, _ in vectors]) if n else np.zeros(0, np.int64)
+        example = np.repeat(np.arange(n), [len(t) for t, _ in vectors])
         order = np.argsort(term, kind="stable")
-        cuts = np.searchsorted(term[order], np.arange(1, len(vocabulary)))
-        example = np.repeat(np.arange(n), [len(t) for t, _ in vectors])[order]
-        weight = np.concatenate([w for _, w in vectors])[order] if n else np.zeros(0)
-        self.posting_ids, self.posting_weights = (np.split(x, cuts) if vocabulary else [] for x in (example, weight))
+        self.posting_ids = example[order].astype(np.int32)
+        self.posting_weights = np.concatenate([w for _, w in vectors])[order] if n else np.zeros(0)
+        # where each term's postings of each block begin; the next entry is where they end
+        cell = term[order] * max(1, self.blocks) + self.posting_ids // BLOCK
+        self.marks = np.searchsorted(cell, np.arange(len(vocabulary) * max(1, self.blocks) + 1)).astype(np.int32)
         self.block_max = np.zeros((len(vocabulary), max(1, self.blocks)), np.float32)
-        self.block_at = []
-        for t, (i, w) in enumerate(zip(self.posting_ids, self.posting_weights, strict=True)):
-            np.maximum.at(self.block_max[t], i // BLOCK, (w * (1 + 1e-6)).astype(np.float32))
-            self.block_at.append(np.searchsorted(i, np.arange(self.blocks + 1) * BLOCK))
+        np.maximum.at(self.block_max.reshape(-1), cell, (self.posting_weights * (1 + 1e-6)).astype(np.float32))
         self.curve = (np.zeros(1), np.full(1, self.prior))
         self.bare = self.prior
-        if 0 < self.prior < 1:
-            self._calibrate(vectors)
 
     def bag(self, text: str | None) -> dict[int, int]:
         out: dict[int, int] = {}
@@ -93,26 +91,30 @@ class Model:
         """Example numbers and exact cosines of the k nearest with a positive cosine, best first."""
         if not len(t):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = w @ self.block_max[t].astype(np.float64)
+        bound = w @ self.block_max[t]
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        best_i, best_s, at, step = np.zeros(0, np.int64), np.zeros(0), 0, max(1, k // 8)
+        best_i, best_s, at, step = np.zeros(0, np.int64), np.zeros(0), 0, FIRST_BLOCKS
         while at < len(order) and (len(best_s) < k or bound[order[at]] >= best_s[-1]):
             opened = order[at : at + step]
+            if len(best_s) >= k:
+                opened = opened[bound[opened] >= best_s[-1]]
             at, step = at + step, step * 2
-            sums = np.zeros((len(opened), BLOCK))
-            for a, b in zip(t.tolist(), w.tolist(), strict=True):
-                ids, weights, marks = self.posting_ids[a], self.posting_weights[a], self.block_at[a]
-                for row, blk in enumerate(opened.tolist()):
-                    lo, hi = marks[blk], marks[blk + 1]
-                    if hi > lo:
-                        sums[row, ids[lo:hi] - blk * BLOCK] += b * weights[lo:hi]
-            rows, cols = np.nonzero(sums > 0)
-            found, scores = opened[rows] * BLOCK + cols, sums[rows, cols]
-            if skip >= 0:
-                keep = found != skip
-                found, scores = found[keep], scores[keep]
-            best_i, best_s = np.concatenate([best_i, found]), np.concatenate([best_s, scores])
+            cell = (t[:, None] * self.blocks + opened[None, :]).reshape(-1)
+            lo, size = self.marks[cell], self.marks[cell + 1] - self.marks[cell]
+            # postings of all opened cells side by side
+            total = int(size.sum())
+            start = np.cumsum(size) - size
+            at_posting = np.repeat(lo - start, size) + np.arange(total)
+            ids = self.posting_ids[at_posting]
+            weight = np.repeat(np.repeat(w, len(opened)), size) * self.posting_weights[at_posting]
+            sums = np.bincount(ids, weight, minlength=len(self.ids))
+            found = np.flatnonzero(sums > 0)
+            found = found[found != skip]
+            best_i, best_s = np.concatenate([best_i, found]), np.concatenate([best_s, sums[found]])
+            if len(best_s) > 4 * k:  # all that may still be among the k nearest, ties included
+                least = np.partition(best_s, len(best_s) - k)[len(best_s) - k]
+                best_i, best_s = best_i[best_s >= least], best_s[best_s >= least]
             top = np.lexsort((self.ids[best_i], -best_s))[:k]
             best_i, best_s = best_i[top], best_s[top]
         return best_i, best_s
@@ -121,18 +123,17 @@ class Model:
         weight = 1 / (np.maximum(0.0, 1 - s) + 0.05)
         return float((weight * self.labels[i]).sum() / weight.sum())
 
-    def _calibrate(self, vectors) -> None:
-        votes, truth, bare = [], [], []
-        for n, (t, w) in enumerate(vectors):
-            i, s = self.nearest(t, w, self.k, skip=n)
-            if len(i):
-                votes.append(self.vote(i, s))
-                truth.append(self.labels[n])
-            else:
-                bare.append(self.labels[n])
-        self.bare = (sum(bare) + self.prior) / (len(bare) + 1)
-        if votes:
-            x, y = np.array(votes), np.array(truth)
+    def left_out(self, n: int) -> float:
+        """The vote on an example without itself; nan without a neighbour."""
+        i, s = self.nearest(*self.vectors[n], self.k, skip=n)
+        return self.vote(i, s) if len(i) else float("nan")
+
+    def calibrate(self, votes: np.ndarray) -> None:
+        """Fit the map from votes to probabilities to every example's left-out vote."""
+        bare = np.isnan(votes)
+        self.bare = float((self.labels[bare].sum() + self.prior) / (bare.sum() + 1))
+        if not bare.all():
+            x, y = votes[~bare], self.labels[~bare]
             order = np.argsort(x, kind="stable")
             self.curve = isotonic(x[order], y[order])
 
@@ -165,7 +166,7 @@ def fold(id_col: str = "doc_id", folds: int = 5):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)), F.lit(0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, min_chi2: float = MIN_CHI2, k: int = K) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, min_chi2: float = MIN_CHI2, k: int = K) -> Model:
     """docs: doc_id, text of the whole corpus; labels: doc_id, toxic of the training rows only."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("__toxic"))
     # a bounded sample of labelled rows, in the order of a hash: at most max_examples small rows are broadcast
@@ -182,7 +183,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
         .withColumn("chi2", F.expr("(n0 + n1) * power(cast(a * (n0 - b) - b * (n1 - a) as double), 2) / nullif((a + b) * (n0 + n1 - a - b) * cast(n1 as double) * n0, 0)"))
         .where(F.col("chi2") >= min_chi2)
         .orderBy(F.desc("chi2"), "w")
-        .limit(max_terms)
         .select("w")
         .collect()
     )
@@ -192,7 +192,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     slim = _numbered(examples, vocabulary).orderBy("doc_id", "toxic").collect()
     discard(examples)
     bags = [dict(zip(*(np.frombuffer(r[c], np.int32).tolist() for c in ("terms", "counts")), strict=True)) for r in slim]
-    return Model(vocabulary, idf, bags, [r["doc_id"] for r in slim], [r["toxic"] for r in slim], k)
+    model = Model(vocabulary, idf, bags, [r["doc_id"] for r in slim], [r["toxic"] for r in slim], k)
+    if 0 < model.prior < 1:
+        model.calibrate(_left_out(docs.sparkSession, model))
+    return model
+
+
+def _left_out(spark: SparkSession, model: Model) -> np.ndarray:
+    """Every example's left-out vote, made by the executors: at most max_examples numbers."""
+    shared, n = spark.sparkContext.broadcast(model), len(model.ids)
+
+    def run(batches):
+        for batch in batches:
+            at = batch.column("id").to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([shared.value.left_out(i) for i in at], pa.float64())], names=["id", "vote"])
+
+    got = spark.range(0, n, 1, max(1, n // 200)).mapInArrow(run, "id long, vote double").toArrow()
+    votes = np.full(n, np.nan)
+    votes[got.column("id").to_numpy()] = got.column("vote").to_numpy(zero_copy_only=False)
+    shared.unpersist()
+    return votes
 
 
 def shingle_digests(column: pa.Array) -> list[bytes]:

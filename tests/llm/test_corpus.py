@@ -610,7 +610,7 @@ def test_toxicity_separates_and_is_exact(spark):
     assert auc > 0.98 and all(0 <= r["score"] <= 1 for r in out.values()) and out[len(labels)]["score"] == out[len(labels) + 1]["score"] < 0.5
     # block-max search gives what a full scan gives
     index = np.zeros((len(model.ids), len(model.vocabulary)))
-    for t, (i, w) in enumerate(zip(model.posting_ids, model.posting_weights, strict=True)):
+    for i, (t, w) in enumerate(model.vectors):
         index[i, t] = w
     for text_ in texts[:40]:
         t, w = model.vector(model.bag(text_))
