@@ -12,10 +12,10 @@ document is within floor(``ratio`` * L) word edits of it.
    and all longer ones, have no walks: each stretch with as many of the item's k-grams as the edits must leave is verified.
 3. A window that shares a table's key with an item is verified by exact edit distance, ends free.
 
-The items are broadcast ``ITEMS_PER_PASS`` at a time, so the broadcast is bounded for any benchmark; documents
-stay where they are (no shuffle). Edge cases: null or wordless texts and items match nothing; equal
+The items are broadcast ``ITEMS_PER_PASS`` at a time, so broadcast and driver are bounded for any benchmark; documents
+stay where they are (no shuffle), and are scanned once a pass. Edge cases: null or wordless texts and items match nothing; equal
 items are all reported; repeated documents are each reported; items too short for an edit must match exactly;
-null ids are carried through.
+null ids, of documents and items, are carried through; texts of any length are read whole; other columns are ignored, or kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialise, table
 from .text import chunks, gram_hashes, mix, text_bytes, word_hashes, words
 
 RATIO, RECALL, SEED_GRAM = 0.2, 0.99, 4
@@ -51,8 +51,8 @@ def walk(sym: np.ndarray, steps: int, number: int) -> tuple[np.ndarray, np.ndarr
 class Items:
     """The index of one pass's items; small arrays in proportion to the items."""
 
-    def __init__(self, ids: list[int], hashes: list[np.ndarray], ratio: float = RATIO, recall: float = RECALL, walks: int | None = None):
-        self.ids, self.words = np.array(ids, np.int64), hashes
+    def __init__(self, ids: list[int | None], hashes: list[np.ndarray], ratio: float = RATIO, recall: float = RECALL, walks: int | None = None):
+        self.ids, self.words = list(ids), hashes
         self.sizes = np.array([len(h) for h in hashes], np.int64)
         self.edits = np.floor(self.sizes * ratio + 1e-9).astype(np.int64)
         self.lengths = np.unique(self.sizes)
@@ -273,19 +273,28 @@ def item_words(texts: list[str | None]) -> list[np.ndarray]:
 def hits(docs: DataFrame, items: DataFrame, ratio: float = RATIO, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document, item and place: doc_id, item_id, start, end (words), distance, item_words, similarity."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    out = None
+    for index, last in _passes(items, ratio, recall):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        part = _scan(docs, shared)
+        if out is not None or not last:  # more than one pass: only the running one's index is held
+            part = materialise(part)
+            shared.destroy()
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _passes(items: DataFrame, ratio: float, recall: float):
+    """(index, whether it is the last) for each ``ITEMS_PER_PASS`` items, one after the other; one without items if there are none."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     passes = max(1, -(-items.count() // ITEMS_PER_PASS))
-    out = None
     for p in range(passes):
-        got = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).orderBy("item_id", "text").collect() if passes > 1 else items.orderBy("item_id", "text").collect()
+        got = (items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p) if passes > 1 else items).orderBy("item_id", "text").collect()
         kept = [(r["item_id"], w) for r, w in zip(got, item_words([r["text"] for r in got]), strict=True) if len(w)]
-        part = _scan(docs, Items([-1 if i is None else i for i, _ in kept], [w for _, w in kept], ratio, recall))
-        out = part if out is None else out.unionByName(part)
-    return out
+        yield Items([i for i, _ in kept], [w for _, w in kept], ratio, recall), p == passes - 1
 
 
-def _scan(docs: DataFrame, index: Items) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def _scan(docs: DataFrame, shared) -> DataFrame:
     names = ["doc_id", "item_id", "start", "end", "distance", "item_words"]
 
     def run(batches):
@@ -293,12 +302,12 @@ def _scan(docs: DataFrame, index: Items) -> DataFrame:
         for batch in chunks(batches):
             data, offsets = text_bytes(batch.column("text"))
             starts, ends, rows = words(data, offsets)
-            got = found.find(word_hashes(data, starts, ends, lower=True), rows) if len(found.ids) else []
+            got = found.find(word_hashes(data, starts, ends, lower=True), rows) if found.ids else []
             ids = batch.column("doc_id")
             first = np.searchsorted(rows, np.arange(batch.num_rows))
             cols = [
                 [ids[r].as_py() for r, *_ in got],
-                [int(found.ids[i]) for _, i, *_ in got],
+                [found.ids[i] for _, i, *_ in got],
                 [s - int(first[r]) for r, _, s, _, _ in got],
                 [e - int(first[r]) for r, _, _, e, _ in got],
                 [d for *_, d in got],
@@ -316,19 +325,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, ratio: float = RATIO, recall: float = RECALL, text_col: str = "text") -> DataFrame:
     """docs without those that hold an item; all columns stay. Narrow: a filter, no join."""
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    passes = max(1, -(-items.count() // ITEMS_PER_PASS))
-    for p in range(passes):
-        got = (items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p) if passes > 1 else items).orderBy("item_id", "text").collect()
-        kept = [(r["item_id"], w) for r, w in zip(got, item_words([r["text"] for r in got]), strict=True) if len(w)]
-        if kept:
-            docs = docs.where(~_holds(docs.sparkSession, Items([-1 if i is None else i for i, _ in kept], [w for _, w in kept], ratio, recall))(F.col(text_col).cast("string")))
+    first = True
+    for index, last in _passes(items, ratio, recall):
+        if not index.ids:
+            continue
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.where(~_holds(shared)(F.col(text_col).cast("string")))
+        if not (first and last):  # more than one pass: only the running one's index is held
+            docs = materialise(docs)
+            shared.destroy()
+        first = False
     return docs
 
 
-def _holds(spark: SparkSession, index: Items):
-    shared = spark.sparkContext.broadcast(index)
-
+def _holds(shared):
     @F.arrow_udf("boolean")
     def holds(texts: pa.Array) -> pa.Array:
         parts = []

@@ -451,7 +451,7 @@ def _linked(docs: DataFrame, buckets: int, percent: int, told: dict | None = Non
         found.where("sketch is not null").join(members.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     )
     pairs = members.select(F.col("sig").alias("p"), F.explode("next").alias("q")).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    links, tried, left = None, None, members
+    links, tried, left, used = None, None, members, []
     for turn in range(ROUNDS + 1):
         if turn:
             if left.isEmpty():
@@ -461,6 +461,7 @@ def _linked(docs: DataFrame, buckets: int, percent: int, told: dict | None = Non
         new = materialise(verified(docs, asked, found, percent))
         if told is not None:
             told[turn] = asked.count()
+        used += [asked, new]
         gained = turn == 0 or not new.isEmpty()
         tried = asked if tried is None else tried.unionByName(asked)
         links = new if links is None else links.unionByName(new)
@@ -475,7 +476,8 @@ def _linked(docs: DataFrame, buckets: int, percent: int, told: dict | None = Non
         new = materialise(rest(docs, left, sketch, found, percent))
         if not new.isEmpty():
             part = components(links.unionByName(new))
-    discard(members, sketch, left)
+        used.append(new)
+    discard(members, sketch, left, *used)
     return found, part
 
 
