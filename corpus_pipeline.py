@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, jaccard, mixing, secrets, toxicity
-from tessera.llm.common import materialise, small_batches, table
+from tessera.llm.common import discard, materialise, small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,5 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        last, docs = docs, materialise(stage(spark, docs, sf_dir))
+        discard(last)  # nothing reads it any more; the input itself is no scratch table
     return STAGES[-1][1](spark, docs, sf_dir)
