@@ -124,7 +124,7 @@ def q60_square_avatars(spark, sf):
 @query("""
 with i as (select o_orderkey, o_custkey % 10 m, (o_orderkey % 100) / 100.0::double h from orders),
 r as (select *, case when m = 0 then 'manual' when m <> 1 and h > 0.8 and o_orderkey % 4 <> 0 then 'match' when o_orderkey % 5 > 1 and m <> 2 then 'derive' else 'no_box' end method from i)
-select o_orderkey, method, case method when 'manual' then [1, 2, 3, 4] when 'match' then [0, 0, m, m] when 'derive' then [5, 5, 6, 6] end box,
+select o_orderkey, method, case method when 'manual' then [1, 2, 3, 4] when 'match' then [0, 0, m::int, m::int] when 'derive' then [5, 5, 6, 6] end box,
   case method when 'manual' then 1.0::double when 'match' then h when 'derive' then 0.5::double end confidence from r
 """)
 def q61_resolve(spark, sf):
@@ -262,7 +262,7 @@ def q71_version_and_sizes(spark, sf):
 
 @query("""
 with b as (select l_orderkey, l_linenumber, l_quantity x1, l_linenumber y1, l_quantity + 40 x2, l_linenumber + 20 y2 from lineitem)
-select l_orderkey, l_linenumber, round(x1 - 40 * 0.05, 6) gx1, round(y2 + 20 * 0.05, 6) gy2, least(greatest(x2, 0), 60) cx2, greatest(least(y1, 3), 0)::int cy1, x1 / 100 nx1, y2 / 50 ny2,
+select l_orderkey, l_linenumber, round(x1 - 40 * 0.05, 6) gx1, round((y2 + 20 * 0.05)::double, 6) gy2, least(greatest(x2, 0), 60) cx2, greatest(least(y1, 3), 0)::int cy1, x1 / 100 nx1, y2 / 50 ny2,
   round_even(x2 * (2000 / 1024), 0)::int ox2, round_even(y2 * (500 / 1024), 0)::int oy2, 41.0::double rw, 21 rh, x2 rx2, sqrt(power(x1 - x2, 2) + power(y1 - y2, 2)) error from b
 """)
 def q72_box_functions(spark, sf):
