@@ -13,13 +13,14 @@ dealt to, and is dealt anew where a batch or a compaction has another number.
 
 Order: a window is removed iff its word sequence also starts in a document of smaller id; windows are judged on the
 input. Edge cases: null texts have no words; texts below 13 words keep all; a null id counts as larger
-than all others; rows with one id are one document for the order, and their removals are joined by id
-(equal rows get equal results); windows never span documents; an empty table gives no rows.
+than all others; rows with one id are one document for the order, and removals find their row by id and checksum of the
+text, so equal rows get equal results and others their own; windows never span documents; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from itertools import compress
 
 import numpy as np
@@ -35,8 +36,7 @@ from .text import chunks, gram_hashes, release, text_bytes, word_hashes, words
 WINDOW, GRAM = 13, 5
 RUN_WORDS, BUCKETS_PER_16MB, ARROW_ROWS = 700_000, 6, 1500
 LAST = np.iinfo(np.int64).max
-_RUN = "bucket int, dealt int, fp binary, doc binary, pos binary, mask binary, checks binary"
-_EMPTY = {"fp": np.uint64, "doc": np.int64, "pos": np.uint32, "mask": np.uint16}
+_RUN = "bucket int, dealt int, fp binary, doc binary, pos binary, mask binary, checks binary, tag binary"
 
 
 def fingerprints(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,6 +56,11 @@ def fingerprints(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
     return at, low[at], whole[at]
 
 
+def tags(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A checksum of every row's text."""
+    return np.array([zlib.crc32(data[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.uint32)
+
+
 def least_docs(fp: np.ndarray, check: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order by (fingerprint, check) and, in that order, the least document of every window's group."""
     order = np.argsort(check)
@@ -71,17 +76,17 @@ def least_docs(fp: np.ndarray, check: np.ndarray, doc: np.ndarray) -> tuple[np.n
     return order, np.repeat(low, np.diff(np.append(starts, len(order))))
 
 
-def _pack(bucket: int, buckets: int, fp, doc, pos, mask, check) -> tuple:
-    return bucket, buckets, deltas(fp), planes(doc), planes(pos), planes(mask), planes(check)
+def _pack(bucket: int, buckets: int, fp, doc, pos, mask, check, tag) -> tuple:
+    return bucket, buckets, deltas(fp), planes(doc), planes(pos), planes(mask), planes(check), planes(tag)
 
 
-def make_run(fp: np.ndarray, check: np.ndarray, doc: np.ndarray, pos: np.ndarray, buckets: int) -> list[tuple]:
-    """A sorted run per bucket of windows given in order of document and position."""
+def make_run(fp: np.ndarray, check: np.ndarray, doc: np.ndarray, pos: np.ndarray, tag: np.ndarray, buckets: int) -> list[tuple]:
+    """A sorted run per bucket of windows given in order of document, tag and position."""
     if not len(fp):
         return []
     head = np.empty(len(fp), bool)
     head[0] = True
-    head[1:] = (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1]) | (pos[1:] < pos[:-1])
+    head[1:] = (fp[1:] != fp[:-1]) | (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (pos[1:] < pos[:-1])
     entry = np.cumsum(head) - 1
     start = pos[np.flatnonzero(head)]
     far = (pos - start[entry]) // 16  # a mask holds 16 windows
@@ -94,19 +99,19 @@ def make_run(fp: np.ndarray, check: np.ndarray, doc: np.ndarray, pos: np.ndarray
     size = np.diff(np.append(heads, len(fp)))
     lead = heads[order]
     windows = np.repeat(lead - np.concatenate([[0], np.cumsum(size[order])[:-1]]), size[order]) + np.arange(len(fp))
-    f, d, p, m, c = fp[lead], doc[lead], pos[lead].astype(np.uint32), mask[order], check[windows]
+    f, d, p, m, c, t = fp[lead], doc[lead], pos[lead].astype(np.uint32), mask[order], check[windows], tag[lead]
     b = bucket_of(f, buckets)
     cut = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1, [len(b)]])
     first = np.concatenate([[0], np.cumsum(size[order])])
-    return [_pack(int(b[i]), buckets, f[i:j], d[i:j], p[i:j], m[i:j], c[first[i] : first[j]]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    return [_pack(int(b[i]), buckets, f[i:j], d[i:j], p[i:j], m[i:j], c[first[i] : first[j]], t[i:j]) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
-def expand(fp: bytes, doc: bytes, pos: bytes, mask: bytes, checks: bytes) -> tuple:
-    """The windows of a run: fingerprint, check, document, position."""
-    f, d, p, m = undeltas(fp), unplanes(doc, np.int64), unplanes(pos, np.uint32), unplanes(mask, np.uint16)
+def expand(fp: bytes, doc: bytes, pos: bytes, mask: bytes, checks: bytes, tag: bytes) -> tuple:
+    """The windows of a run: fingerprint, check, document, position, tag."""
+    f, d, p, m, t = undeltas(fp), unplanes(doc, np.int64), unplanes(pos, np.uint32), unplanes(mask, np.uint16), unplanes(tag, np.uint32)
     bits = (m[:, None] >> np.arange(16, dtype=np.uint16)) & 1
     e, bit = np.nonzero(bits)
-    return f[e], unplanes(checks, np.uint64), d[e], (p[e] + bit).astype(np.int64)
+    return f[e], unplanes(checks, np.uint64), d[e], (p[e] + bit).astype(np.int64), t[e]
 
 
 def _home(doc: np.ndarray, buckets: int) -> np.ndarray:
@@ -123,15 +128,15 @@ def _home(doc: np.ndarray, buckets: int) -> np.ndarray:
     return np.mod(h.view(np.int64), buckets).astype(np.int32)
 
 
-def _removals(doc: np.ndarray, pos: np.ndarray, buckets: int) -> list[tuple]:
-    """Rows (home, doc, pos) of removed windows, one for each home bucket of their documents."""
+def _removals(doc: np.ndarray, pos: np.ndarray, tag: np.ndarray, buckets: int) -> list[tuple]:
+    """Rows (home, doc, pos, tag) of removed windows, one for each home bucket of their documents."""
     if not len(doc):
         return []
     home = _home(doc, buckets)
     order = np.lexsort((pos, doc, home))
-    home, doc, pos = home[order], doc[order], pos[order]
+    home, doc, pos, tag = home[order], doc[order], pos[order], tag[order]
     cut = np.concatenate([[0], np.flatnonzero(np.diff(home)) + 1, [len(home)]])
-    return [(int(home[i]), planes(doc[i:j]), planes(pos[i:j].astype(np.uint32))) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    return [(int(home[i]), planes(doc[i:j]), planes(pos[i:j].astype(np.uint32)), planes(tag[i:j])) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
 def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
@@ -139,8 +144,8 @@ def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-_RUN_NAMES = ["bucket", "dealt", "fp", "doc", "pos", "mask", "checks"]
-_RUN_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+_RUN_NAMES = ["bucket", "dealt", "fp", "doc", "pos", "mask", "checks", "tag"]
+_RUN_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
 
 
 def runs(docs: DataFrame, buckets: int) -> DataFrame:
@@ -151,16 +156,16 @@ def runs(docs: DataFrame, buckets: int) -> DataFrame:
         count = 0
 
         def flush():
-            fp, check, doc, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+            fp, check, doc, pos, tag = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             order, low = least_docs(fp, check, doc)
             least = np.empty_like(low)
             least[order] = low
             gone = doc > least
             # one copy of a window within a document is enough for the index, but each of them must be told of removal
-            done = [(home, buckets, None, d, p, None, None) for home, d, p in _removals(doc[gone], pos[gone], buckets)]
+            done = [(home, buckets, None, d, p, None, None, t) for home, d, p, t in _removals(doc[gone], pos[gone], tag[gone], buckets)]
             stay = ~gone
-            out = make_run(fp[stay], check[stay], doc[stay], pos[stay], buckets) + done
+            out = make_run(fp[stay], check[stay], doc[stay], pos[stay], tag[stay], buckets) + done
             for i in range(0, len(out), 64):
                 yield _batch(out[i : i + 64], _RUN_NAMES, _RUN_TYPES)
 
@@ -172,7 +177,7 @@ def runs(docs: DataFrame, buckets: int) -> DataFrame:
                 continue
             ids = batch.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False)
             first = np.searchsorted(rows, np.arange(len(offsets) - 1))
-            held.append((fp, check, ids[rows[at]], at - first[rows[at]]))
+            held.append((fp, check, ids[rows[at]], at - first[rows[at]], tags(data, offsets)[rows[at]]))
             count += len(at)
             if count >= RUN_WORDS:
                 yield from flush()
@@ -189,9 +194,9 @@ def redealt(history: DataFrame, buckets: int) -> DataFrame:
     def deal(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                fp, check, doc, pos = expand(*(batch.column(c)[r].as_py() for c in _RUN_NAMES[2:]))
-                order = np.lexsort((pos, doc))
-                yield _batch(make_run(fp[order], check[order], doc[order], pos[order], buckets), _RUN_NAMES, _RUN_TYPES)
+                parts = expand(*(batch.column(c)[r].as_py() for c in _RUN_NAMES[2:]))
+                order = np.lexsort((parts[3], parts[4], parts[2]))
+                yield _batch(make_run(*(x[order] for x in parts), buckets), _RUN_NAMES, _RUN_TYPES)
 
     runs = history.where("fp is not null")
     same = F.col("dealt") == F.lit(buckets)
@@ -201,20 +206,20 @@ def redealt(history: DataFrame, buckets: int) -> DataFrame:
 def _load(t: pa.Table) -> tuple[tuple, list]:
     passed, sums = [], np.cumsum([0] + [x.size // 8 for x in (np.frombuffer(c.as_buffer() or b"", np.uint8) for c in t.column("checks"))])
     n = int(sums[-1])
-    out = np.empty(n, np.uint64), np.empty(n, np.uint64), np.empty(n, np.int64), np.empty(n, np.uint32)
+    out = np.empty(n, np.uint64), np.empty(n, np.uint64), np.empty(n, np.int64), np.empty(n, np.uint32), np.empty(n, np.uint32)
     for k in range(t.num_rows):  # a run at a time: only its own expansion is held beside the result
-        fp, doc, pos, mask, checks = (t.column(c)[k].as_py() for c in ("fp", "doc", "pos", "mask", "checks"))
+        fp, doc, pos, mask, checks, tag = (t.column(c)[k].as_py() for c in ("fp", "doc", "pos", "mask", "checks", "tag"))
         if fp is None:
-            passed.append((doc, pos))
+            passed.append((doc, pos, tag))
         else:
-            for whole, part in zip(out, expand(fp, doc, pos, mask, checks), strict=True):
+            for whole, part in zip(out, expand(fp, doc, pos, mask, checks, tag), strict=True):
                 whole[sums[k] : sums[k + 1]] = part
     return out, passed
 
 
 def merge(found: DataFrame, buckets: int, history: DataFrame | None = None) -> DataFrame:
-    """Removed windows (home, doc, pos) of the runs in found, judged against each other and the history's runs."""
-    schema = "home int, doc binary, pos binary"
+    """Removed windows (home, doc, pos, tag) of the runs in found, judged against each other and the history's runs."""
+    schema = "home int, doc binary, pos binary, tag binary"
     both = found.withColumn("fresh", F.lit(True))
     if history is not None:
         both = both.unionByName(redealt(history, buckets).withColumn("fresh", F.lit(False)))
@@ -222,19 +227,19 @@ def merge(found: DataFrame, buckets: int, history: DataFrame | None = None) -> D
     def join(t: pa.Table) -> pa.Table:
         fresh = pc.equal(t.column("fresh"), True)
         home = int(t.column("bucket")[0].as_py())
-        (fp, check, doc, pos), passed = _load(t.filter(fresh))
+        (fp, check, doc, pos, tag), passed = _load(t.filter(fresh))
         own = len(fp)
         if not pc.all(fresh).as_py():
             old, _ = _load(t.filter(pc.invert(fresh)))
-            fp, check, doc, pos = (np.concatenate([a, b]) for a, b in zip((fp, check, doc, pos), old, strict=True))
+            fp, check, doc, pos, tag = (np.concatenate([a, b]) for a, b in zip((fp, check, doc, pos, tag), old, strict=True))
         del t
         order, low = least_docs(fp, check, doc)
         gone = order[(doc[order] > low) & (order < own)]
-        out = _removals(doc[gone], pos[gone], buckets)
-        out += [(home, d, p) for d, p in passed]
-        del fp, check, doc, pos, order, low, gone
+        out = _removals(doc[gone], pos[gone], tag[gone], buckets)
+        out += [(home, *x) for x in passed]
+        del fp, check, doc, pos, tag, order, low, gone
         release()
-        return pa.Table.from_batches([_batch(out, ["home", "doc", "pos"], [pa.int32(), pa.binary(), pa.binary()])])
+        return pa.Table.from_batches([_batch(out, ["home", "doc", "pos", "tag"], [pa.int32(), pa.binary(), pa.binary(), pa.binary()])])
 
     return both.groupBy("bucket").applyInArrow(join, schema)
 
@@ -244,11 +249,11 @@ def compact(found: DataFrame, history: DataFrame | None = None, buckets: int = 1
     both = redealt(found if history is None else found.unionByName(history), buckets)
 
     def fold(t: pa.Table) -> pa.Table:
-        (fp, check, doc, pos), _ = _load(t)
+        (fp, check, doc, pos, tag), _ = _load(t)
         order, low = least_docs(fp, check, doc)
         keep = np.sort(order[doc[order] == low])
-        keep = keep[np.lexsort((pos[keep], doc[keep]))]
-        rows = make_run(fp[keep], check[keep], doc[keep], pos[keep], buckets)
+        keep = keep[np.lexsort((pos[keep], tag[keep], doc[keep]))]
+        rows = make_run(fp[keep], check[keep], doc[keep], pos[keep], tag[keep], buckets)
         return pa.Table.from_batches([_batch(rows, _RUN_NAMES, _RUN_TYPES)])
 
     return both.groupBy("bucket").applyInArrow(fold, _RUN)
@@ -264,19 +269,20 @@ def apply(docs: DataFrame, removed: DataFrame, buckets: int, keep_text: bool = F
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()][: len(names)]
 
     def clean(texts: pa.Table, gone: pa.Table) -> pa.Table:
-        pairs = [(unplanes(r["doc"], np.int64), unplanes(r["pos"], np.uint32)) for r in gone.to_pylist()]
-        doc, pos = (np.concatenate(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        kinds = {"doc": np.int64, "pos": np.uint32, "tag": np.uint32}
+        doc, pos, tag = (np.concatenate([np.zeros(0, k), *(unplanes(x.as_py(), k) for x in gone.column(c))]) for c, k in kinds.items())
         order = np.argsort(doc, kind="stable")
-        doc, pos = doc[order], pos[order].astype(np.int64)
+        doc, pos, tag = doc[order], pos[order].astype(np.int64), tag[order]
         ids = texts.column("doc_id").to_pylist()
         keys = np.array([LAST if i is None else i for i in ids], np.int64)
         lo, hi = np.searchsorted(doc, keys, "left").tolist(), np.searchsorted(doc, keys, "right").tolist()
         out = []
         for n, text in enumerate(texts.column("text")):
-            found = (text.as_py() or "").encode().split()
+            raw = (text.as_py() or "").encode()
+            found = raw.split()
             count, cut = len(found), 0
             if hi[n] > lo[n]:
-                at = pos[lo[n] : hi[n]]
+                at = pos[lo[n] : hi[n]][tag[lo[n] : hi[n]] == zlib.crc32(raw)]  # rows that share an id are told apart by their texts
                 at = at[at + WINDOW <= count]
                 change = np.zeros(count + 1, np.int64)
                 np.add.at(change, at, 1)
@@ -287,7 +293,7 @@ def apply(docs: DataFrame, removed: DataFrame, buckets: int, keep_text: bool = F
             kept = b" ".join(found)
             row = (ids[n], count, cut, hashlib.sha256(kept).hexdigest())
             out.append((*row, kept.decode()) if keep_text else row)
-        del doc, pos, pairs, order
+        del doc, pos, tag, order
         release()
         return pa.Table.from_batches([_batch(out, names, types)])
 

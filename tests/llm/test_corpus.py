@@ -262,6 +262,17 @@ def test_substring_history_is_incremental(spark):
     assert substring.dedup(table(spark, []), buckets=3).count() == 0
 
 
+def test_rows_that_share_an_id_lose_their_own_words_only(spark, monkeypatch):
+    monkeypatch.setattr(substring, "RUN_WORDS", 60)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [passage, f"a b {passage} c", " ".join(f"q{i}" for i in range(40)), f"a b {passage} c", f"d e f g {passage}", "x " * 50000 + passage]
+    ids = [1, 7, 7, 7, None, None]
+    out = substring.dedup(table(spark, texts, ids).withColumn("home", F.lit("x")), buckets=3).collect()
+    key = lambda r: str(tuple(r))
+    assert sorted((tuple(r) for r in out), key=key) == sorted(brute_removal(texts, ids), key=key)
+    assert sorted(r["n_removed"] for r in out)[:2] == [0, 0]
+
+
 def test_windows_around_one_gram_stay_apart():
     rng = np.random.default_rng(12)
     some = rng.integers(1, 1 << 63, 1 << 18, dtype=np.uint64)
