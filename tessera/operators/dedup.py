@@ -80,12 +80,13 @@ def greedy(df: DataFrame, keys: list[str], rank: str, vector: str, least: float,
         x = x - x.mean(1, keepdims=True)
         norm = np.sqrt((x * x).sum(1, keepdims=True))
         x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
-        kept, status = [], []
+        kept, n, status = np.empty_like(x), 0, []
         for row in x:
-            hit = bool(kept) and float((np.stack(kept) @ row).max()) > least
+            hit = n > 0 and float((kept[:n] @ row).max()) > least
             status.append("dropped" if hit else "ok")
             if not hit:
-                kept.append(row)
+                kept[n] = row
+                n += 1
         return pa.table([*(t.column(c) for c in (*keys, *carry)), pa.array(status)], names=[*keys, *carry, "status"])
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
