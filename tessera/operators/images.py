@@ -209,3 +209,18 @@ def written(df: DataFrame, keys: list[str], path: str, data: str = "png") -> Dat
         return ("ok",)
 
     return _pictures(df, keys, "status string", one)
+
+
+def match_views(df: DataFrame, keys: list[str]) -> DataFrame:
+    """png of every matched base with its box, score and avatar; rows without a match have none.
+
+    df: keys, height, width, channels, data, box_norm, threshold and avatar, a struct of image columns or null.
+    """
+
+    def one(r):
+        if r["box_norm"] is None or r["threshold"] is None:
+            return (None,)
+        avatar = None if r["avatar"] is None else _decoded(r["avatar"].asDict() if hasattr(r["avatar"], "asDict") else r["avatar"])
+        return (pixels.png(pixels.match_view(_decoded(r), avatar, list(r["box_norm"]), float(r["threshold"]))),)
+
+    return _pictures(df, keys, "png binary", one)

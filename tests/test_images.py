@@ -166,3 +166,15 @@ def test_image_scan_and_groups(spark, tmp_path):
     assert [r["group"] for r in images.group_of_diff(df).select("group").collect()] == [2, 1, None, None]
     j = spark.createDataFrame([('{"facePos":{"x":1,"y":2},"faceSize":{"x":3,"y":4}}',), ("broken",)], "t string")
     assert [len(r["groups"]) for r in images.face_groups(j, "t").collect()] == [1, 0]
+
+
+def test_match_views(spark):
+    white = np.full((64, 64, 4), 255, np.uint8)
+    view = pixels.match_view(white, avatar(side=360), [0.25, 0.5, 0.75, 1.0], 0.9174)
+    assert view.shape == (512, 512, 3) and (view[256:258, 128:385] == pixels.RED).all() and (view[300, 130] == 255).all()
+    assert (view[232:256, 128:220] == pixels.RED).all(2).any() and (view[-180:, -180:] != 255).any() and (view[:200] == 255).all()
+    assert pixels.numeral("8").sum() > pixels.numeral("1").sum() > 0 and pixels.numeral("").shape[1] == 0
+    row = (64, 64, 4, white.tobytes())
+    df = spark.createDataFrame([("a", *row, [0.0, 0.0, 0.5, 0.5], 0.9, row), ("b", *row, None, None, None), ("c", *row, [0.0, 0.0, 0.5, 0.5], 0.9, None)], f"base string, {IMAGE}, box_norm array<double>, threshold double, avatar struct<{IMAGE.replace(' ', ':').replace(',:', ',')}>")
+    out = {r["base"]: r for r in images.match_views(df, ["base"]).collect()}
+    assert out["b"]["png"] is None and all(out[k]["png"].startswith(b"\x89PNG") and out[k]["error"] is None for k in "ac")
