@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -15,10 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir, or the one set on the context."""
+    """The shared folder the cluster names in spark.checkpoint.dir, or the one set on the context.
+
+    Where neither is set, a session within one machine gets a temporary folder of its own; on a cluster that is an error, for
+    executors would not share it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="tessera-")
+        spark.sparkContext.setCheckpointDir(root)
+        root = spark.sparkContext.getCheckpointDir() or root
     return root.rstrip("/")
 
 
