@@ -253,8 +253,8 @@ def _wrapped(a: str, b: str) -> str:
     return f"cast(pmod(cast({a} as decimal(38,0)) + {b} + 9223372036854775808, 18446744073709551616) - 9223372036854775808 as long)"
 
 
-def _level(tree: Tree, listed: DataFrame, above: DataFrame | None, gain: float) -> tuple[DataFrame, DataFrame] | None:
-    """Entries (key, value, times), and (key, logp) of the listed words, of the contexts that diverge; None if none does."""
+def _level(tree: Tree, listed: DataFrame, above: DataFrame | None, gain: float) -> tuple[DataFrame, DataFrame, Bits] | None:
+    """Entries (key, value, times), and (key, logp) of the listed words, of the contexts that diverge, and the Bits of states and all listed words; None if none does."""
     if above is None:
         shared = listed.sparkSession.sparkContext.broadcast((tree.head, tree.root))
 
@@ -270,8 +270,9 @@ def _level(tree: Tree, listed: DataFrame, above: DataFrame | None, gain: float)
         known = known.where("logq is not null").unionByName(rare)
     else:
         known = listed.withColumn("key", F.expr(_wrapped("above", "word"))).join(above.withColumnRenamed("logp", "logq"), "key").drop("key")
-    known = materialise(known.withColumns({"p": F.expr(f"(times - {DISCOUNT}) / total"), "q": F.expr("power(10D, logq)")}))
-    sums = known.groupBy("ctx").agg(
+    known = materialise(known.select("ctx", "word", "times", "total", "logq"))
+    discard(listed)
+    sums = known.withColumns({"p": F.expr(f"(times - {DISCOUNT}) / total"), "q": F.expr("power(10D, logq)")}).groupBy("ctx").agg(
         F.first("total").alias("n"),
         F.greatest(1 - F.sum("p"), F.lit(1e-9)).alias("rp"),
         F.greatest(1 - F.sum("q"), F.lit(1e-9)).alias("rq"),
@@ -284,11 +285,13 @@ def _level(tree: Tree, listed: DataFrame, above: DataFrame | None, gain: float)
         discard(known, states)
         return None
     words = known.join(states.drop("n"), "ctx").withColumn("key", F.expr(_wrapped("ctx", "word")))
-    words = materialise(words.select("key", F.expr("log10(p)").alias("logp"), F.expr("log10(p) - logq - rest").alias("value"), "times"))
+    words = words.withColumn("logp", F.expr(f"log10((times - {DISCOUNT}) / total)"))
+    words = materialise(words.select("key", "logp", F.expr("logp - logq - rest").alias("value"), "times"))
     # a state's own key is its context's complement
     entries = states.select(F.expr("~ctx").alias("key"), F.col("rest").alias("value"), F.col("n").alias("times")).unionByName(words.select("key", "value", "times"))
+    seen = Bits.of(entries.select("key").unionByName(known.select(F.expr(_wrapped("ctx", "word")).alias("key"))))
     discard(known)
-    return entries, words.select("key", "logp")
+    return entries, words.select("key", "logp"), seen
 
 
 def fit(docs: DataFrame, gain: float = GAIN, head_words: int = HEAD_WORDS) -> Tree:
@@ -336,16 +339,13 @@ def fit(docs: DataFrame, gain: float = GAIN, head_words: int = HEAD_WORDS) -> Tr
         listed = materialise(_events(train, tree.depth + 1, buckets, seen))
         level = None if listed.isEmpty() else _level(tree, listed, above, gain)
         if level is None:
-            discard(listed)
             break
-        entries, above = level
+        entries, above, bits = level
         tree.levels.append(entries)
         tree.depth += 1
-        states = entries.select("key").unionByName(listed.select(F.expr(_wrapped("ctx", "word")).alias("key")))
         if seen is not None:
             seen.unpersist()
-        seen = spark.sparkContext.broadcast(Bits.of(states))
-        discard(listed)
+        seen = spark.sparkContext.broadcast(bits)
     return tree
 
 
