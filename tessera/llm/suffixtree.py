@@ -33,7 +33,7 @@ from .common import arrow_rows, discard, materialise, table
 from .runs import bucket_count, bucket_of, count_run, deltas, planes, sum_runs, undeltas, unplanes
 from .text import chunks, mix, text_bytes, word_hashes, words
 
-HEAD_WORDS, HEAD_ENTRIES, BITS, LEAST, GAIN, DISCOUNT = 1 << 19, 1 << 19, 1 << 26, 2, 12.0, 0.6
+HEAD_WORDS, HEAD_ENTRIES, BITS, LEAST, GAIN, DISCOUNT = 1 << 19, 1 << 20, 1 << 26, 6, 12.0, 0.6
 RUN_TOKENS, RUN_EVENTS, ARROW_ROWS = 1_000_000, 600_000, 2000
 END = np.uint64(0x3C6EF372FE94F82B)
 _BLOCK = 1 << 12  # bits in a row of the bit table

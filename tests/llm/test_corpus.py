@@ -335,6 +335,7 @@ def brute_tree(train, gain, least=2):
 @pytest.mark.parametrize("head, entries, bits", [(1 << 19, 1 << 19, 1 << 20), (64, 32, 1 << 20), (64, 32, 1 << 12)])
 def test_suffix_tree_scores_against_brute_force(spark, monkeypatch, head, entries, bits):
     monkeypatch.setattr(suffixtree, "BITS", bits)
+    monkeypatch.setattr(suffixtree, "LEAST", 2)
     monkeypatch.setattr(suffixtree, "RUN_EVENTS", 2000)
     texts = corpus(6)
     docs = table(spark, texts).select("doc_id", "text", (F.col("doc_id") % 7 != 2).alias("train")).withColumn("key", F.lit(1))
@@ -361,7 +362,8 @@ def test_suffix_tree_states_sum_to_one():
         assert math.isclose(sum(p(context, w) for w in c) + p(context, "never seen"), 1.0, rel_tol=1e-6)
 
 
-def test_suffix_tree_grows_with_the_corpus(spark):
+def test_suffix_tree_grows_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(suffixtree, "LEAST", 2)
     rng = np.random.default_rng(1)
     sizes = []
     for n in (100, 400):
@@ -371,7 +373,8 @@ def test_suffix_tree_grows_with_the_corpus(spark):
     assert sizes[1] > 3.5 * sizes[0] > 100
 
 
-def test_suffix_tree_edges(spark):
+def test_suffix_tree_edges(spark, monkeypatch):
+    monkeypatch.setattr(suffixtree, "LEAST", 2)
     docs = table(spark, ["a b", None]).select("doc_id", "text", F.lit(False).alias("train"))
     out = suffixtree.score(docs, suffixtree.fit(docs)).collect()
     assert {(r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in out} == {(3, 0, 0.0, 0.0), (1, 0, 0.0, 0.0)}
