@@ -132,6 +132,12 @@ def test_names(spark):
     assert names.glob_regex("a*.[!x]?") == r"(?s)^(?:a.*\.[^x].)$"
 
 
+def test_byte_text_rounds_ties_to_even(spark):
+    sizes = [1023, 1280, 1792, 3328, 1048575, 5 << 18, 13 << 18, 5 << 28, 13 << 28, None]
+    got = [r["t"] for r in spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "i int, n long").orderBy("i").select(names.byte_text("n").alias("t")).collect()]
+    assert got == ["1023 B", "1.2 KB", "1.8 KB", "3.2 KB", "1024.0 KB", "1.2 MB", "3.2 MB", "1.2 GB", "3.2 GB", None]
+
+
 def test_boxes(spark):
     one = spark.range(1).select(
         geometry.iou([F.lit(v) for v in (0, 0, 2, 2)], [F.lit(v) for v in (0, 0, 2, 2)]).alias("same"), geometry.iou([F.lit(v) for v in (0, 0, 1, 1)], [F.lit(v) for v in (5, 5, 6, 6)]).alias("apart"),
