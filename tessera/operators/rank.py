@@ -10,14 +10,44 @@ from pyspark.sql import functions as F
 from ..functions.names import c, without_variant
 
 
-def rank_candidates(pairs: DataFrame, keys: list[str], wanted: str, name: str, limit: int | None = None) -> DataFrame:
-    """pairs with distance (edits between the names without variant, lower case) and rank, nearest first, then by name."""
-    d = F.levenshtein(F.lower(without_variant(wanted)), F.lower(without_variant(name)))
-    out = pairs.withColumn("distance", d)
-    out = out.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("distance", name)))
+def _plain(name: str) -> Column:
+    return F.lower(without_variant(name))
+
+
+def _first(columns: list[str]) -> list[Column]:
+    """An order with nulls last."""
+    return [F.col(x).asc_nulls_last() for x in columns]
+
+
+def rank_candidates(pairs: DataFrame, keys: list[str], wanted: str, name: str, limit: int | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """pairs with distance (edits between the names without variant, lower case) and rank, nearest first, then by name, then by ties; nulls last."""
+    out = pairs.withColumn("distance", F.levenshtein(_plain(wanted), _plain(name)))
+    out = out.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*_first(["distance", name, *ties]))))
     return out.where(F.col("rank") <= limit) if limit else out
 
 
+def nearest_names(items: DataFrame, names: DataFrame, on: list[str], keys: list[str], wanted: str, name: str, limit: int, ties: tuple[str, ...] = ()) -> DataFrame:
+    """rank_candidates of items joined with names on the columns on, without making that join's pairs.
+
+    A distance depends on the two names without variant alone. So each pair of different ones is measured once, of names alike the first ``limit`` stand for all, and
+    every item gets the nearest of its own name before its key's are ranked. Exact; the cost is that of the different names' pairs, and ``limit`` rows an item.
+    """
+    w = lambda *by: Window.partitionBy(*by)
+    tasks = max(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), items.sparkSession.sparkContext.defaultParallelism)
+    # in a given number of partitions, for a few rows of names make many pairs
+    few = names.withColumn("_s", _plain(name)).repartition(tasks, *on, "_s")
+    few = few.withColumn("_n", F.row_number().over(w(*on, "_s").orderBy(*_first([name, *ties])))).where(F.col("_n") <= limit)
+    items = items.withColumn("_w", _plain(wanted))
+    pairs = items.select(*on, "_w").distinct().join(few, on).withColumn("distance", F.levenshtein("_w", "_s"))
+    near = pairs.withColumn("_n", F.row_number().over(w(*on, "_w").orderBy(*_first(["distance", name, *ties])))).where(F.col("_n") <= limit)
+    near = near.drop("_s", "_n").withColumnsRenamed({x: f"_on_{x}" for x in on}).withColumnRenamed("_w", "_of")
+    same = F.col("_w").eqNullSafe(F.col("_of"))
+    for x in on:
+        same = same & (F.col(x) == F.col(f"_on_{x}"))
+    out = items.join(near, same).drop("_w", "_of", *(f"_on_{x}" for x in on))
+    return out.withColumn("rank", F.row_number().over(w(*keys).orderBy(*_first(["distance", name, *ties])))).where(F.col("rank") <= limit)
+
+
 def early_stop(scored: DataFrame, keys: list[str], order: list[str], score: str, target: float) -> DataFrame:
     """The rows seen until the first score above target; of each key, best marks the answer: the first of the largest scores seen."""
     w = Window.partitionBy(*keys).orderBy(*order)

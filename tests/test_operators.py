@@ -119,6 +119,43 @@ def test_candidate_ranking(spark):
         assert got[0] == order[0] and set(got) == set(order)
 
 
+def _named(spark):
+    """Items and names with repeats, variants, empty names and nulls, two rows of a key and a group without names."""
+    word = ["ring", "Ring_2", "ring_3", "bolt", "gear_1", "", "_7", None]
+    items = [(i // 2, f"g{i % 3}" if i % 7 else None, word[i % 8]) for i in range(60)]
+    names_ = [(100 + i, f"g{i % 2}" if i % 11 else None, word[(i * 5) % 8]) for i in range(40)]
+    return spark.createDataFrame(items, "k int, g string, wanted string"), spark.createDataFrame(names_, "n int, g string, name string")
+
+
+def test_nearest_names_equal_ranked_pairs(spark):
+    items, found = _named(spark)
+    got = rank.nearest_names(items, found, ["g"], ["k"], "wanted", "name", 3, ("n",)).select("k", "name", "distance", "rank").collect()
+    want = rank.rank_candidates(items.join(found, "g"), ["k"], "wanted", "name", 3, ("n",)).select("k", "name", "distance", "rank").collect()
+    assert got and sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+    assert max(r["rank"] for r in got if r["distance"] is None) > 1  # names without a distance come last
+
+
+def test_nearest_names_measure_each_pair_of_names_once(spark):
+    """The rows that levenshtein meets are the pairs of different names, not of rows."""
+    items = spark.range(3000).selectExpr("id k", "'g' g", "concat('part ', id % 5) wanted")
+    found = spark.range(400).selectExpr("id n", "'g' g", "concat('name ', char(97 + id % 4), '_', id) name")
+    out = rank.nearest_names(items, found, ["g"], ["k"], "wanted", "name", 3, ("n",))
+    assert out.count() == 9000
+    out.collect()
+    plan, most, queue = out._jdf.queryExecution().executedPlan(), 0, []
+    queue.append(plan)
+    while queue:
+        node = queue.pop()
+        if "Adaptive" in node.nodeName():
+            node = node.executedPlan()
+        if "QueryStage" in node.nodeName():
+            node = node.plan()
+        if "Join" in node.nodeName() and "_of" not in node.simpleString(1000):
+            most = max(most, node.metrics().apply("numOutputRows").value())
+        queue += [node.children().apply(i) for i in range(node.children().size())]
+    assert 0 < most <= 5 * 4 * 3
+
+
 def test_names(spark):
     df = spark.createDataFrame([("avg_003_kalts_1",), ("char_242_mayer",), ("avg_npc_010",), ("npc_001",), ("char_1012_skadi2_1",)], "n string")
     got = {r["n"]: (r["m"], r["i"]) for r in df.select("n", names.matchable("n").alias("m"), names.numeric_id("n").alias("i")).collect()}
