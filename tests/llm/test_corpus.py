@@ -373,6 +373,16 @@ def test_suffix_tree_grows_with_the_corpus(spark, monkeypatch):
     assert sizes[1] > 3.5 * sizes[0] > 100
 
 
+def test_suffix_tree_writes_no_row_for_each_key(spark, monkeypatch):
+    monkeypatch.setattr(suffixtree, "LEAST", 2)
+    texts, made, write = corpus(3), [], suffixtree.materialise
+    docs = table(spark, texts).select("doc_id", "text", F.lit(True).alias("train"))
+    tree = suffixtree.fit(docs, gain=4.0, head_words=64)
+    monkeypatch.setattr(suffixtree, "materialise", lambda df: made.append(write(df)) or made[-1])
+    suffixtree.score(docs, tree, 32)
+    assert made and max(m.count() for m in made) <= len(texts)
+
+
 def test_suffix_tree_edges(spark, monkeypatch):
     monkeypatch.setattr(suffixtree, "LEAST", 2)
     docs = table(spark, ["a b", None]).select("doc_id", "text", F.lit(False).alias("train"))
