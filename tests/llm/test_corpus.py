@@ -383,6 +383,39 @@ def test_suffix_tree_writes_no_row_for_each_key(spark, monkeypatch):
     assert made and max(m.count() for m in made) <= len(texts)
 
 
+def shuffled(spark, work) -> int:
+    """Bytes that the stages of work() write for shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+
+    def stages():
+        sc.listenerBus().waitUntilEmpty()
+        found = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return {found.apply(i).stageId(): found.apply(i).shuffleWriteBytes() for i in range(found.size())}
+
+    before = max(stages(), default=-1)
+    work()
+    return sum(n for stage, n in stages().items() if stage > before)
+
+
+def test_suffix_tree_shuffles_few_bytes_a_token(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"v{x}" for x in (9000 * rng.random(500) ** 2).astype(int)) for _ in range(400)]
+    docs = table(spark, texts).select("doc_id", "text", F.lit(True).alias("train")).coalesce(2)
+    assert shuffled(spark, lambda: suffixtree.fit(docs)) < 5 * 500 * 400
+
+
+@pytest.mark.parametrize("most", [1, 500, 1 << 20])
+def test_suffix_tree_merges_runs_without_loss(spark, monkeypatch, most):
+    monkeypatch.setattr(suffixtree, "LEAST", 2)
+    monkeypatch.setattr(suffixtree, "RUN_EVENTS", 300)
+    monkeypatch.setattr(suffixtree, "SENT_EVENTS", most, raising=False)
+    texts = corpus(4)
+    docs = table(spark, texts).select("doc_id", "text", F.lit(True).alias("train"))
+    tree = suffixtree.fit(docs, gain=4.0, head_words=64)
+    states, *_ = brute_tree([[*words(t, True), None] for t in texts], 4.0)
+    assert tree.entries().count() == sum(1 + len(listed) for _, listed in states.values())
+
+
 def test_suffix_tree_edges(spark, monkeypatch):
     monkeypatch.setattr(suffixtree, "LEAST", 2)
     docs = table(spark, ["a b", None]).select("doc_id", "text", F.lit(False).alias("train"))
